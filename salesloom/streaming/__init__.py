@@ -1,0 +1 @@
+"""Empty on purpose: every operator of this warehouse is a batch job."""
