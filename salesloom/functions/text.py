@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# A private-use character that marks where a blank was put in.
+_MARK = "\ue000"
+
+
 def title_case(col: Column) -> Column:
     """Upper-case the first letter of every run of letters, lower-case the rest.
 
-    `initcap` alone only starts a word after white space, so `sales-rep` would become
-    `Sales-rep`; here a word also starts after a hyphen, quote or digit.
+    `initcap` only starts a word after a blank, so `sales-rep` would become `Sales-rep`. A
+    marked blank in front of every run of letters makes it start words after hyphens, quotes
+    and digits too, without leaving built-in string functions.
     """
-    runs = F.regexp_extract_all(col, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    spaced = F.regexp_replace(col, r"(?<=\P{L})(?=\p{L})", f"{_MARK} ")
+    return F.replace(F.initcap(spaced), F.lit(f"{_MARK} "), F.lit(""))
 
 
 def clean_label(col: Column) -> Column:

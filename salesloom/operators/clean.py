@@ -25,6 +25,11 @@ def _trimmed_id(df: DataFrame, name: str) -> Column:
     return F.trim(name) if isinstance(df.schema[name].dataType, T.StringType) else F.col(name)
 
 
+def _source_order(df: DataFrame, key: str) -> list[str]:
+    """The source's own columns decide between repeated ids; derived ones follow from them."""
+    return [c for c in df.columns if c != key]
+
+
 def _active(col: Column) -> Column:
     return F.coalesce(coerce_int(col), F.lit(1))
 
@@ -60,7 +65,7 @@ def clean_customers(df: DataFrame, as_of: date, order_by: Sequence[str] | None =
             "tenure_days": F.when(tenure < 0, F.lit(0)).otherwise(tenure),
         }
     )
-    return keep_first(cleaned, "customer_id", order_by)
+    return keep_first(cleaned, "customer_id", order_by or _source_order(df, "customer_id"))
 
 
 def clean_products(
@@ -80,7 +85,7 @@ def clean_products(
             }
         )
     )
-    return keep_first(cleaned, "product_id", order_by)
+    return keep_first(cleaned, "product_id", order_by or _source_order(df, "product_id"))
 
 
 def clean_orders(
@@ -117,7 +122,7 @@ def clean_orders(
             "has_zero_total": flag(F.col("order_total") == 0),
         }
     )
-    return keep_first(cleaned, "order_id", order_by)
+    return keep_first(cleaned, "order_id", order_by or _source_order(df, "order_id"))
 
 
 def clean_order_items(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -132,7 +137,7 @@ def clean_order_items(df: DataFrame, order_by: Sequence[str] | None = None) -> D
             "effective_unit_price": F.col("unit_price") - F.col("discount_amt"),
         }
     )
-    return keep_first(cleaned, "item_id", order_by)
+    return keep_first(cleaned, "item_id", order_by or _source_order(df, "item_id"))
 
 
 def clean_campaigns(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -156,7 +161,7 @@ def clean_campaigns(df: DataFrame, order_by: Sequence[str] | None = None) -> Dat
             **rates,
         }
     ).withColumns({"duration_days": F.datediff("end_date", "start_date"), **campaign_efficiency()})
-    return keep_first(cleaned, "campaign_id", order_by)
+    return keep_first(cleaned, "campaign_id", order_by or _source_order(df, "campaign_id"))
 
 
 def campaign_efficiency() -> dict[str, Column]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -79,9 +80,24 @@ class Warehouse:
     def dim_campaign(self) -> DataFrame:
         return self._table("dim_campaign", lambda: dims.campaign_dimension(self.staged("campaigns"), self.store))
 
+    def prepare(self) -> None:
+        """Build what the fact needs, all at once: none of it depends on the rest."""
+        builds = (
+            lambda: self.staged("order_items"),
+            lambda: self.staged("orders"),
+            lambda: self.dim_customer,
+            lambda: self.dim_product,
+            lambda: self.dim_campaign,
+            lambda: self.dim_date,
+        )
+        with ThreadPoolExecutor(len(builds)) as pool:
+            for done in [pool.submit(build) for build in builds]:
+                done.result()
+
     @property
     def fact_sales(self) -> DataFrame:
         def build() -> DataFrame:
+            self.prepare()
             return fact.build_fact(
                 self.staged("order_items"),
                 self.staged("orders"),
