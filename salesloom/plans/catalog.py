@@ -26,6 +26,7 @@ from salesloom.sources.store import Store
 Query = Callable[[SparkSession, str], DataFrame]
 
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_MARTS: dict[tuple[str, str], Marts] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -47,8 +48,22 @@ def new_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     )
 
 
+def written_marts(spark: SparkSession, sf_dir: str) -> Marts:
+    """The session's marts as tables: reports, charts and checks share one computation of each."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MARTS:
+        shared = warehouse(spark, sf_dir)
+        _MARTS[key] = Marts(shared, shared.store)
+    return _MARTS[key]
+
+
+def _mart(name: str) -> Query:
+    """The mart itself, computed from fact and order summary each time."""
+    return lambda spark, sf_dir: publish(Marts(warehouse(spark, sf_dir))[name])
+
+
 def _on_marts(build: Callable[[Marts], DataFrame]) -> Query:
-    return lambda spark, sf_dir: publish(build(Marts(warehouse(spark, sf_dir))))
+    return lambda spark, sf_dir: publish(build(written_marts(spark, sf_dir)))
 
 
 def _on_warehouse(build: Callable[[Warehouse], DataFrame]) -> Query:
@@ -63,7 +78,7 @@ def _union(parts) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-MARTS: dict[str, Query] = {name: _on_marts(lambda m, name=name: m[name]) for name in MART_NAMES}
+MARTS: dict[str, Query] = {name: _mart(name) for name in MART_NAMES}
 
 REPORTS: dict[str, Query] = {
     "report_topline": _on_warehouse(lambda w: reports.report_topline(w.order_sales)),
@@ -300,7 +315,7 @@ QUALITY: dict[str, Query] = {
     "range_rules": _on_marts(_range_rules),
     "profit_identity": _on_warehouse(_profit_identity),
     "expected_rows": _on_marts(_expected_rows),
-    "sorted_products": _on_marts(_sorted_products),
+    "sorted_products": lambda spark, sf_dir: _sorted_products(Marts(warehouse(spark, sf_dir))),
     "order_date_range": _on_warehouse(lambda w: quality.key_range(w.staged("orders"), "order_date")),
     "headline_sanity": _on_marts(
         lambda m: quality.headline_sanity(reports.kpi_cards(m.warehouse.order_sales, m["monthly_revenue"]))
@@ -353,7 +368,7 @@ def staging_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mart_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exports the ten marts as CSV and counts what the files hold."""
     folder = fresh_folder(spark, "export")
-    paths = pipeline.export_marts(Marts(warehouse(spark, sf_dir)), folder)
+    paths = pipeline.export_marts(written_marts(spark, sf_dir), folder)
     exported = {name: spark.read.option("header", True).csv(path) for name, path in paths.items()}
     return sinks.row_counts(exported).withColumnRenamed("table", "mart")
 
@@ -366,7 +381,7 @@ def column_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_views_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad-hoc SQL over the named mart views."""
-    pipeline.register_views(Marts(warehouse(spark, sf_dir)))
+    pipeline.register_views(written_marts(spark, sf_dir))
     return spark.sql(
         """
         SELECT r.year, COUNT(*) AS regions, CAST(SUM(CAST(r.total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue, MAX(m.months) AS months
@@ -383,7 +398,7 @@ def scan_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.json_records(Marts(warehouse(spark, sf_dir))["channel_performance"])
+    return sinks.json_records(written_marts(spark, sf_dir)["channel_performance"])
 
 
 READING_WRITING: dict[str, Query] = {

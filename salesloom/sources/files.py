@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -47,6 +48,11 @@ def read_json(spark: SparkSession, path: str, schema: str = CAMPAIGN_SCHEMA) ->
     raise SourceError(f"neither a JSON array nor an object: {path}")
 
 
+def _reason(error: Exception) -> str:
+    text = error.java_exception.getMessage() if isinstance(error, Py4JJavaError) else str(error)
+    return str(text).splitlines()[0]
+
+
 def extract_all(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
     """All readable sources, and a report with one row per source; broken ones are left out."""
     found: dict[str, DataFrame] = {}
@@ -56,8 +62,8 @@ def extract_all(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame],
         try:
             df = read_csv(spark, path) if kind == "csv" else read_json(spark, path)
             df.first()
-        except (PySparkException, SourceError) as error:
-            report.append((source, path, "failed", str(error).splitlines()[0]))
+        except (PySparkException, Py4JJavaError, SourceError) as error:
+            report.append((source, path, "failed", _reason(error)))
             continue
         found[source] = df
         missing = [c for c in REQUIRED_COLUMNS[source] if c not in df.columns]
