@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -35,38 +36,45 @@ def null_report(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def full_row_copies(df: DataFrame) -> tuple[int, int, int]:
+    """Rows, NULL cells and rows that repeat an earlier one.
+
+    Only a hash per row is shuffled. Equal rows have equal hashes, so where no hash repeats, no
+    row does; otherwise just the rows behind repeated hashes are compared in full, which keeps
+    the count exact whatever the hash does.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    nulls = reduce(lambda total, c: total + c.isNull().cast("int"), columns, F.lit(0))
+    hashed = df.withColumn("_hash", F.xxhash64(*columns))
+    per_hash = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("copies"), F.sum(nulls).alias("nulls"))
+    repeated = F.col("copies") > 1
+    rows, cells, suspects = per_hash.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.sum("nulls"), F.lit(0)), F.count_if(repeated)
+    ).first()
+    if suspects == 0:
+        return rows, cells, 0
+    compared = hashed.join(per_hash.filter(repeated).select("_hash"), "_hash", "left_semi").groupBy(*columns)
+    extra = compared.agg((F.count(F.lit(1)) - 1).alias("extra")).agg(F.sum("extra")).first()[0]
+    return rows, cells, extra
+
+
+QUALITY_SCHEMA = "dataset string, rows bigint, null_pct decimal(5,1), duplicates bigint, status string"
+
+
 def quality_report(datasets: dict[str, DataFrame], max_null_percent: float = 5.0) -> DataFrame:
     """Rows, mean share of NULLs, full-row repeats and a verdict per dataset, and a TOTAL row."""
-    parts = []
+    report, total = [], 0
     for name, df in datasets.items():
-        # Equal rows collapse before the shuffle; what remains carries its number of copies.
-        copies = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-        nulls = sum((F.when(F.col(f"`{c}`").isNull(), F.col("_copies")).otherwise(F.lit(0)) for c in df.columns), F.lit(0))
-        parts.append(
-            copies.agg(
-                F.lit(name).alias("dataset"),
-                F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-                (F.sum(nulls).cast("decimal(28,0)") * 100).alias("_nulls"),
-                F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
-            ).withColumn("_cells", F.col("rows") * len(df.columns))
-        )
-    exact = F.try_divide(F.col("_nulls"), F.col("_cells"))
-    clean = (F.coalesce(exact, F.lit(0)) < max_null_percent) & (F.col("duplicates") == 0)
-    report = _union(parts).select(
-        "dataset",
-        "rows",
-        F.round(exact, 1).alias("null_pct"),
-        "duplicates",
-        F.when(clean, F.lit("PASS")).otherwise(F.lit("CHECK")).alias("status"),
-    )
-    total = report.agg(
-        F.lit("TOTAL").alias("dataset"),
-        F.sum("rows").alias("rows"),
-        F.lit(None).cast(report.schema["null_pct"].dataType).alias("null_pct"),
-        F.lit(None).cast("bigint").alias("duplicates"),
-        F.lit(None).cast("string").alias("status"),
-    )
-    return report.unionByName(total)
+        rows, nulls, duplicates = full_row_copies(df)
+        cells = rows * len(df.columns)
+        share = Decimal(100 * nulls) / cells if cells else None
+        passed = (share or 0) < max_null_percent and duplicates == 0
+        rounded = share if share is None else share.quantize(Decimal("0.1"), ROUND_HALF_UP)
+        report.append((name, rows, rounded, duplicates, "PASS" if passed else "CHECK"))
+        total += rows
+    report.append(("TOTAL", total, None, None, None))
+    session = next(iter(datasets.values())).sparkSession
+    return session.createDataFrame(report, QUALITY_SCHEMA)
 
 
 def date_parse_report(raw: DataFrame, source: str, columns: Sequence[str]) -> DataFrame:

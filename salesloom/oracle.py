@@ -721,6 +721,7 @@ FINAL = {
     # reading and writing
     "csv_roundtrip": f"SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id) FROM (SELECT {_CUSTOMER} FROM customers)",
     "json_records_roundtrip": _CAMPAIGNS,
+    "json_records": f"SELECT * REPLACE ({_doubles('total_revenue', 'total_profit', 'avg_margin_pct', 'avg_order_value')}) FROM channel_performance",
     "staging_load_counts": _count_rows("table", STAGED),
     "mart_csv_export": _count_rows(
         "mart",
@@ -733,6 +734,11 @@ FINAL = {
         },
     ),
     "column_contract": _contract(),
+    "scan_profile": " UNION ALL ".join(
+        f"SELECT '{t}' AS source, COUNT(*) AS rows, CAST({width} AS INTEGER) AS columns, CAST(1 AS BIGINT) AS files, "
+        f"COUNT(*) > 0 AS has_bytes FROM {t}"
+        for t, width in (("customer", 5), ("part", 6), ("orders", 6), ("lineitem", 11), ("supplier", 4), ("events", 6))
+    ),
     "mart_views_sql": (
         "SELECT r.year, COUNT(*) AS regions, SUM(r.total_revenue)::DOUBLE AS revenue, MAX(m.months) AS months "
         "FROM revenue_by_region r JOIN (SELECT year, COUNT(*) AS months FROM monthly_revenue GROUP BY year) m USING (year) "

@@ -394,11 +394,15 @@ def mart_views_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("customer", "part", "orders", "lineitem", "supplier", "events")
-    return _union([files.scan_profile(spark.read.parquet(f"{sf_dir}/{n}.parquet"), n) for n in names])
+    profiles = [files.scan_profile(spark.read.parquet(f"{sf_dir}/{n}.parquet"), n) for n in names]
+    return _union(profiles).withColumn("has_bytes", F.col("bytes") > 0).drop("bytes")
 
 
 def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.json_records(written_marts(spark, sf_dir)["channel_performance"])
+    """A mart as JSON records, parsed again."""
+    mart = written_marts(spark, sf_dir)["channel_performance"]
+    records = sinks.json_records(mart)
+    return records.select(F.from_json("record", publish(mart).schema).alias("r")).select("r.*")
 
 
 READING_WRITING: dict[str, Query] = {
