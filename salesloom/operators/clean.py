@@ -232,14 +232,23 @@ def orders_summary(orders: DataFrame) -> DataFrame:
     )
 
 
-def transform_all(raw: dict[str, DataFrame], settings: config.Settings, order_by: dict[str, Sequence[str]] | None = None):
+def transform(
+    source: str, raw: DataFrame, settings: config.Settings, order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Clean one source by its name."""
+    if source == "customers":
+        return clean_customers(raw, settings.as_of, order_by)
+    if source == "products":
+        return clean_products(raw, settings.price_fallback_factor, order_by)
+    if source == "orders":
+        return clean_orders(raw, settings.high_value_quantile, order_by=order_by)
+    if source == "order_items":
+        return clean_order_items(raw, order_by)
+    if source == "campaigns":
+        return clean_campaigns(raw, order_by)
+    raise LookupError(f"unknown source '{source}'")
+
+
+def transform_all(raw: dict[str, DataFrame], settings: config.Settings) -> dict[str, DataFrame]:
     """Clean every source that is present; absent ones are left out."""
-    order_by = order_by or {}
-    steps = {
-        "customers": lambda df, o: clean_customers(df, settings.as_of, o),
-        "products": lambda df, o: clean_products(df, settings.price_fallback_factor, o),
-        "orders": lambda df, o: clean_orders(df, settings.high_value_quantile, order_by=o),
-        "order_items": clean_order_items,
-        "campaigns": clean_campaigns,
-    }
-    return {name: step(raw[name], order_by.get(name)) for name, step in steps.items() if name in raw}
+    return {source: transform(source, df, settings) for source, df in raw.items()}

@@ -41,7 +41,7 @@ def new_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         spark,
         Store(spark, fresh_folder(spark, "warehouse")),
         testbed.SETTINGS,
-        testbed.raw_sources(spark, sf_dir),
+        lambda source: testbed.raw_source(spark, sf_dir, source),
         testbed.ORDER_BY,
         testbed.attribution_bucket,
         testbed.attribution_choice,
@@ -70,8 +70,8 @@ def _on_warehouse(build: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, sf_dir: publish(build(warehouse(spark, sf_dir)))
 
 
-def _on_raw(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, sf_dir: publish(build(testbed.raw_sources(spark, sf_dir)))
+def _on_raw(source: str, build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: publish(build(testbed.raw_source(spark, sf_dir, source)))
 
 
 def _union(parts) -> DataFrame:
@@ -160,14 +160,14 @@ def _line_economics(w: Warehouse) -> DataFrame:
 
 
 CLEANING: dict[str, Query] = {
-    "clean_customers": _on_raw(lambda raw: clean.clean_customers(raw["customers"], testbed.SETTINGS.as_of)),
-    "clean_products": _on_raw(lambda raw: clean.clean_products(raw["products"])),
-    "clean_orders": _on_raw(lambda raw: clean.clean_orders(raw["orders"])),
+    "clean_customers": _on_raw("customers", lambda raw: clean.clean_customers(raw, testbed.SETTINGS.as_of)),
+    "clean_products": _on_raw("products", clean.clean_products),
+    "clean_orders": _on_raw("orders", clean.clean_orders),
     "clean_order_items": _on_raw(
-        lambda raw: clean.clean_order_items(raw["order_items"], testbed.ORDER_BY["order_items"])
+        "order_items", lambda raw: clean.clean_order_items(raw, testbed.ORDER_BY["order_items"])
     ),
-    "clean_campaigns": _on_raw(lambda raw: clean.clean_campaigns(raw["campaigns"])),
-    "dedup_items": _on_raw(lambda raw: removed_duplicates(raw["order_items"], "item_id")),
+    "clean_campaigns": _on_raw("campaigns", clean.clean_campaigns),
+    "dedup_items": _on_raw("order_items", lambda raw: removed_duplicates(raw, "item_id")),
     "price_bands": _on_warehouse(lambda w: quality.value_counts(w.dim_product, "price_band")),
     "high_value_orders": _on_warehouse(
         lambda w: w.staged("orders")
@@ -187,7 +187,7 @@ def _rejects(w: Warehouse) -> DataFrame:
 
 
 WAREHOUSE: dict[str, Query] = {
-    "dim_date": lambda spark, sf_dir: dims.calendar_covering(testbed.raw_sources(spark, sf_dir)["orders"], "order_date"),
+    "dim_date": lambda spark, sf_dir: dims.calendar_covering(testbed.raw_source(spark, sf_dir, "orders"), "order_date"),
     "dim_customer": _on_warehouse(lambda w: w.dim_customer),
     "dim_product": _on_warehouse(lambda w: w.dim_product),
     "dim_campaign": _on_warehouse(lambda w: w.dim_campaign),
@@ -307,9 +307,9 @@ def _sorted_products(m: Marts) -> DataFrame:
 QUALITY: dict[str, Query] = {
     "null_report": _on_warehouse(lambda w: _union([quality.null_report(df, n) for n, df in w.staging().items()])),
     "quality_report": _on_warehouse(lambda w: quality.quality_report(w.staging(), w.settings.max_null_percent)),
-    "date_parse_report": _on_raw(_date_parse_report),
+    "date_parse_report": lambda spark, sf_dir: _date_parse_report(testbed.raw_sources(spark, sf_dir)),
     "orphan_checks": _on_warehouse(lambda w: quality.orphan_checks(_references(w))),
-    "duplicate_keys": _on_raw(lambda raw: quality.duplicate_keys(raw["order_items"], ["item_id"])),
+    "duplicate_keys": _on_raw("order_items", lambda raw: quality.duplicate_keys(raw, ["item_id"])),
     "missing_keys": _on_warehouse(_missing_keys),
     "accepted_values": _on_marts(_accepted_values),
     "range_rules": _on_marts(_range_rules),
@@ -334,7 +334,7 @@ QUALITY: dict[str, Query] = {
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw customers written as CSV, read back as text and cleaned."""
     folder = fresh_folder(spark, "csv")
-    sinks.write_csv(testbed.raw_sources(spark, sf_dir)["customers"], folder)
+    sinks.write_csv(testbed.raw_source(spark, sf_dir, "customers"), folder)
     return publish(clean.clean_customers(files.read_csv(spark, folder), testbed.SETTINGS.as_of))
 
 
@@ -344,7 +344,7 @@ def json_records_roundtrip(spark: SparkSession, sf_dir: str, records_per_file: i
     A wrapped document holds a fixed number of records at most, so no group grows with the data.
     """
     folder = fresh_folder(spark, "json")
-    raw = publish(testbed.raw_sources(spark, sf_dir)["campaigns"])
+    raw = publish(testbed.raw_source(spark, sf_dir, "campaigns"))
     place = F.monotonically_increasing_id()
     chunks = raw.withColumn("_chunk", F.floor(place / records_per_file)).groupBy("_chunk").agg(
         F.to_json(F.struct(F.collect_list(F.struct(*raw.columns)).alias("records"))).alias("value")

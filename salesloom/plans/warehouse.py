@@ -28,13 +28,13 @@ class Warehouse:
         spark: SparkSession,
         store: Store,
         settings: Settings,
-        raw: dict[str, DataFrame] | None = None,
+        raw: Callable[[str], DataFrame] | None = None,
         order_by: dict[str, Sequence[str]] | None = None,
         bucket: Callable[[], Column] | None = None,
         choice: Callable[[], Column] | None = None,
     ):
         self.spark, self.store, self.settings = spark, store, settings
-        self._cleaned = clean.transform_all(raw, settings, order_by) if raw else {}
+        self._raw, self._order_by = raw, order_by or {}
         self._bucket, self._choice = bucket, choice
         self._ready: dict[str, DataFrame] = {}
 
@@ -54,9 +54,9 @@ class Warehouse:
 
     def staged(self, source: str) -> DataFrame:
         def cleaned() -> DataFrame:
-            if source not in self._cleaned:
+            if self._raw is None:
                 raise LookupError(f"source '{source}' is neither given nor staged in {self.store.root}")
-            return self._cleaned[source]
+            return clean.transform(source, self._raw(source), self.settings, self._order_by.get(source))
 
         return self._table(STAGING_TABLES[source], cleaned)
 

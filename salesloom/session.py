@@ -20,7 +20,9 @@ _LOCAL_ROOTS: dict[str, str] = {}
 
 def build_session(master: str, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName("salesloom").master(master)
-    for key, value in {**SPARK_CONF, **conf}.items():
+    # A local master runs its tasks in the driver, whose heap is one gigabyte by default.
+    local = {"spark.driver.memory": "8g"} if master.startswith("local") else {}
+    for key, value in {**SPARK_CONF, **local, **conf}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -138,17 +138,21 @@ def raw_campaigns(table) -> DataFrame:
     return campaign_rates(campaigns)
 
 
+RAW = {
+    "customers": raw_customers,
+    "products": raw_products,
+    "orders": raw_orders,
+    "order_items": raw_order_items,
+    "campaigns": raw_campaigns,
+}
+
+
+def raw_source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    return RAW[source](lambda table: spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
+
+
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-    return {
-        "customers": raw_customers(table),
-        "products": raw_products(table),
-        "orders": raw_orders(table),
-        "order_items": raw_order_items(table),
-        "campaigns": raw_campaigns(table),
-    }
+    return {source: raw_source(spark, sf_dir, source) for source in RAW}
 
 
 def attribution_bucket() -> Column:
