@@ -39,7 +39,7 @@ def attribute_campaign(
     not change with partitioning or on a retry, unlike a random draw.
     """
     keys = campaigns.agg(F.count(F.lit(1)).alias("n")).scalar()
-    chosen = F.when(keys > 0, F.pmod(choice, keys) + 1)
+    chosen = F.pmod(choice, F.nullif(keys, F.lit(0))) + 1
     hit = (F.col("status") == config.REVENUE_STATUS) & (bucket < percent_attributed)
     return lines.withColumn("campaign_key", F.when(hit, chosen).cast("bigint"))
 

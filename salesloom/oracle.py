@@ -584,6 +584,10 @@ FINAL = {
         "COALESCE(n, 0) AS num_items FROM clean_orders LEFT JOIN "
         "(SELECT order_id, SUM(line_total) AS t, SUM(line_profit) AS p, COUNT(*) AS n FROM items GROUP BY order_id) USING (order_id)"
     ),
+    "order_total_quantiles": " UNION ALL ".join(
+        f"SELECT {q}::DOUBLE AS level, round(quantile_cont(order_total::DOUBLE, {q}), 4) AS order_total FROM clean_orders"
+        for q in (0.05, 0.5, 0.95)
+    ),
     "orders_summary": (
         "SELECT COUNT(*) AS orders, COUNT(*) FILTER (status = 'Completed') AS completed_orders, "
         "(SUM(order_total) FILTER (status = 'Completed'))::DOUBLE AS completed_total FROM clean_orders"
@@ -747,5 +751,28 @@ FINAL = {
 }
 
 
+# Dates leave the queries as text.
+DATES = {
+    "customer_ltv": ("joined_date", "first_order_date", "last_order_date"),
+    "clean_customers": ("joined_date",),
+    "csv_roundtrip": ("joined_date",),
+    "clean_orders": ("order_date", "shipped_date"),
+    "clean_campaigns": ("start_date", "end_date"),
+    "json_records_roundtrip": ("start_date", "end_date"),
+    "high_value_orders": ("order_date",),
+    "dim_date": ("full_date",),
+    "dim_customer": ("joined_date",),
+    "dim_campaign": ("start_date", "end_date"),
+    "order_date_range": ("first", "last"),
+}
+
+
+def _with_text_dates(name: str, final: str) -> str:
+    if name not in DATES:
+        return final
+    texts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in DATES[name])
+    return f"SELECT * REPLACE ({texts}) FROM ({final})"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: f"WITH {PRELUDE}, {MARTS} {final}" for name, final in FINAL.items()}
+    return {name: f"WITH {PRELUDE}, {MARTS} {_with_text_dates(name, final)}" for name, final in FINAL.items()}

@@ -16,6 +16,7 @@ from salesloom import config
 from salesloom.functions.numeric import publish
 from salesloom.operators import clean, dims, fact, quality
 from salesloom.operators.dedup import removed_duplicates
+from salesloom.operators.quantile import exact_quantile
 from salesloom.plans import charts, pipeline, reports
 from salesloom.plans.marts import MART_NAMES, Marts
 from salesloom.plans.warehouse import Warehouse
@@ -57,21 +58,26 @@ def written_marts(spark: SparkSession, sf_dir: str) -> Marts:
     return _MARTS[key]
 
 
+def result(df: DataFrame) -> DataFrame:
+    """What a query hands out: plain doubles, and dates as yyyy-MM-dd text."""
+    return sinks.dates_as_text(publish(df))
+
+
 def _mart(name: str) -> Query:
     """The mart itself, computed from fact and order summary each time."""
-    return lambda spark, sf_dir: publish(Marts(warehouse(spark, sf_dir))[name])
+    return lambda spark, sf_dir: result(Marts(warehouse(spark, sf_dir))[name])
 
 
 def _on_marts(build: Callable[[Marts], DataFrame]) -> Query:
-    return lambda spark, sf_dir: publish(build(written_marts(spark, sf_dir)))
+    return lambda spark, sf_dir: result(build(written_marts(spark, sf_dir)))
 
 
 def _on_warehouse(build: Callable[[Warehouse], DataFrame]) -> Query:
-    return lambda spark, sf_dir: publish(build(warehouse(spark, sf_dir)))
+    return lambda spark, sf_dir: result(build(warehouse(spark, sf_dir)))
 
 
 def _on_raw(source: str, build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: publish(build(testbed.raw_source(spark, sf_dir, source)))
+    return lambda spark, sf_dir: result(build(testbed.raw_source(spark, sf_dir, source)))
 
 
 def _union(parts) -> DataFrame:
@@ -159,6 +165,12 @@ def _line_economics(w: Warehouse) -> DataFrame:
     return clean.line_economics(lines).select("item_id", "discount_amt", "line_total", "line_profit")
 
 
+def _order_total_quantiles(w: Warehouse) -> DataFrame:
+    orders = w.staged("orders")
+    levels = [exact_quantile(orders, "order_total", q).withColumn("level", F.lit(q)) for q in (0.05, 0.5, 0.95)]
+    return _union(levels).select("level", F.round("quantile", 4).alias("order_total"))
+
+
 CLEANING: dict[str, Query] = {
     "clean_customers": _on_raw("customers", lambda raw: clean.clean_customers(raw, testbed.SETTINGS.as_of)),
     "clean_products": _on_raw("products", clean.clean_products),
@@ -176,6 +188,7 @@ CLEANING: dict[str, Query] = {
     ),
     "line_economics": _on_warehouse(_line_economics),
     "order_rollup": _on_warehouse(lambda w: clean.order_rollup(w.staged("order_items"), w.staged("orders"))),
+    "order_total_quantiles": _on_warehouse(_order_total_quantiles),
     "orders_summary": _on_warehouse(lambda w: clean.orders_summary(w.staged("orders"))),
 }
 
@@ -187,7 +200,7 @@ def _rejects(w: Warehouse) -> DataFrame:
 
 
 WAREHOUSE: dict[str, Query] = {
-    "dim_date": lambda spark, sf_dir: dims.calendar_covering(testbed.raw_source(spark, sf_dir, "orders"), "order_date"),
+    "dim_date": _on_raw("orders", lambda raw: dims.calendar_covering(raw, "order_date")),
     "dim_customer": _on_warehouse(lambda w: w.dim_customer),
     "dim_product": _on_warehouse(lambda w: w.dim_product),
     "dim_campaign": _on_warehouse(lambda w: w.dim_campaign),
@@ -335,7 +348,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw customers written as CSV, read back as text and cleaned."""
     folder = fresh_folder(spark, "csv")
     sinks.write_csv(testbed.raw_source(spark, sf_dir, "customers"), folder)
-    return publish(clean.clean_customers(files.read_csv(spark, folder), testbed.SETTINGS.as_of))
+    return result(clean.clean_customers(files.read_csv(spark, folder), testbed.SETTINGS.as_of))
 
 
 def json_records_roundtrip(spark: SparkSession, sf_dir: str, records_per_file: int = 500) -> DataFrame:
@@ -351,7 +364,7 @@ def json_records_roundtrip(spark: SparkSession, sf_dir: str, records_per_file: i
     )
     chunks.select("value").write.option("maxRecordsPerFile", 1).text(folder)
     typed = clean.clean_campaigns(files.read_json(spark, folder, "campaign_id bigint, " + _campaign_fields()))
-    return publish(typed)
+    return result(typed)
 
 
 def _campaign_fields() -> str:
@@ -402,7 +415,7 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart as JSON records, parsed again."""
     mart = written_marts(spark, sf_dir)["channel_performance"]
     records = sinks.json_records(mart)
-    return records.select(F.from_json("record", publish(mart).schema).alias("r")).select("r.*")
+    return records.select(F.from_json("record", result(mart).schema).alias("r")).select("r.*")
 
 
 READING_WRITING: dict[str, Query] = {

@@ -77,14 +77,19 @@ def staging_references(staging: dict[str, DataFrame]) -> list[quality.Reference]
     ]
 
 
-def run_etl(spark: SparkSession, raw_folder: str, store: Store, settings: Settings) -> dict[str, DataFrame]:
-    """Read, clean, stage and check; returns the reports of the phase."""
+def run_etl(
+    spark: SparkSession, raw_folder: str, store: Store, settings: Settings, csv_copies: bool = True
+) -> dict[str, DataFrame]:
+    """Read, clean, stage and check; returns the reports of the phase.
+
+    `csv_copies` writes every staging table once more as CSV, for inspection.
+    """
     raw, extracted = files.extract_all(spark, raw_folder)
     cleaned = clean.transform_all(raw, settings)
     staging, counts = sinks.load_all(cleaned, store)
     # Everything after loading reads the staged copy instead of cleaning again.
     for source, table in STAGING_TABLES.items():
-        if table in staging:
+        if csv_copies and table in staging:
             sinks.write_csv(staging[table], store.path(f"csv/{source}_clean"))
     results = {
         "extracted": extracted,
@@ -111,7 +116,12 @@ def run_warehouse(spark: SparkSession, store: Store, settings: Settings) -> tupl
 
 
 def run_pipeline(
-    spark: SparkSession, raw_folder: str, out_folder: str, settings: Settings | None = None, only: str | None = None
+    spark: SparkSession,
+    raw_folder: str,
+    out_folder: str,
+    settings: Settings | None = None,
+    only: str | None = None,
+    csv_copies: bool = True,
 ) -> Run:
     """Both phases, or one of them over what the other has left in the output folder."""
     if only is not None and only not in PHASES:
@@ -121,7 +131,7 @@ def run_pipeline(
     run, start = Run(), time.monotonic()
     try:
         if only in (None, "etl"):
-            run.reports.update(run_etl(spark, raw_folder, store, settings))
+            run.reports.update(run_etl(spark, raw_folder, store, settings, csv_copies))
         if only in (None, "warehouse"):
             results, run.exports = run_warehouse(spark, store, settings)
             run.reports.update(results)
