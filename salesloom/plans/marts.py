@@ -151,16 +151,20 @@ def top_products(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def category_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Two narrow passes: sums and products at product grain, distinct orders on their own."""
+    """Two narrow passes: sums and products at product grain, distinct orders on their own.
+
+    Their results are a few rows per category and year; stacking and summing them brings both
+    together without a join, and keeps products without a category as a group of their own.
+    """
     lines = revenue_lines(fact).withColumnRenamed("order_year", "year")
     categories = dim_product.select("product_key", "category")
     keys = ["category", "year"]
-    sums = (
+    products = (
         lines.groupBy("product_key", "year")
         .agg(*_line_sums(), F.sum("line_cost").alias("cost"))
         .join(categories, "product_key")
         .groupBy(*keys)
-        .agg(*_sums(F.sum("cost").alias("total_cost"), F.count(F.lit(1)).alias("num_products")))
+        .agg(*_sums(F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("products")))
     )
     orders = (
         lines.select("product_key", "year", "order_id")
@@ -168,14 +172,15 @@ def category_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
         .groupBy(*keys)
         .agg(F.count_distinct("order_id").alias("orders"))
     )
-    # NULL is a category of its own, hence the null-safe match.
-    same = sums["category"].eqNullSafe(orders["category"]) & (sums["year"] == orders["year"])
+    together = products.unionByName(orders, allowMissingColumns=True)
     return (
-        sums.join(orders.select("category", "year", "orders"), same)
+        together.groupBy(*keys)
+        .agg(*_sums(*[F.sum(c).alias(c) for c in ("cost", "products", "orders")]))
         .select(
-            sums["category"], sums["year"], "num_products",
+            *keys,
+            F.col("products").alias("num_products"),
             *_measures("total_units_sold", "total_revenue"),
-            "total_cost",
+            F.col("cost").alias("total_cost"),
             *_measures("total_profit", "avg_margin_pct", "total_orders"),
         )
         .orderBy("year", F.desc("total_revenue"), "category")
