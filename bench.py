@@ -56,7 +56,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": rounded,
-                "sf": Path(sf_dir).name.removeprefix("sf"),
+                "sf": float(Path(sf_dir).name.removeprefix("sf")),
                 "cpus": cpus,
                 "first_build_in_cold_jvm": round(cold, 3),
             }

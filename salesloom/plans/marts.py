@@ -91,7 +91,6 @@ def monthly_revenue(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
                 "avg_margin_pct", "unique_customers", "avg_order_value",
             ),
         )
-        .orderBy("year", "month")
     )
 
 
@@ -109,7 +108,6 @@ def _by_customer_attribute(
                 "total_orders", "unique_customers", "total_revenue", "total_profit", "avg_margin_pct", last_measure
             ),
         )
-        .orderBy("year", F.desc("total_revenue"), attribute)
     )
 
 
@@ -131,7 +129,6 @@ def channel_performance(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
                 "total_orders", "unique_customers", "total_revenue", "total_profit", "avg_margin_pct", "avg_order_value"
             ),
         )
-        .orderBy("year", F.desc("total_revenue"), "channel")
     )
 
 
@@ -146,7 +143,6 @@ def top_products(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
             F.col("orders").alias("times_ordered"),
             F.col("customers").alias("unique_buyers"),
         )
-        .orderBy(F.desc("total_revenue"), "product_id")
     )
 
 
@@ -183,7 +179,6 @@ def category_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
             F.col("cost").alias("total_cost"),
             *_measures("total_profit", "avg_margin_pct", "total_orders"),
         )
-        .orderBy("year", F.desc("total_revenue"), "category")
     )
 
 
@@ -204,7 +199,6 @@ def campaign_roi(fact: DataFrame, dim_campaign: DataFrame) -> DataFrame:
             F.round("budget", 2).alias("campaign_budget"),
             percent(F.col("revenue") - F.col("budget"), F.col("budget"), 1).alias("roi_pct"),
         )
-        .orderBy(F.desc("attributed_revenue"), "campaign_id")
     )
 
 
@@ -241,7 +235,6 @@ def customer_ltv(
             "last_order_date",
             ltv_tier(F.col("revenue"), thresholds).alias("ltv_tier"),
         )
-        .orderBy(F.desc("total_revenue"), "customer_id")
     )
 
 
@@ -263,7 +256,6 @@ def cohort_monthly(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
             F.sum("revenue").alias("cohort_revenue"),
             F.sum("profit").alias("cohort_profit"),
         )
-        .orderBy("cohort_month", "activity_month")
     )
 
 
@@ -289,24 +281,41 @@ def yoy_growth(monthly: DataFrame, years: Sequence[int]) -> DataFrame:
         percent(F.col(after) - F.col(before), F.col(before), 1).alias(name)
         for before, after, name in zip(revenue, revenue[1:], growth)
     ]
-    return wide.select("month", "month_name", *revenue, *changes).orderBy("month")
+    return wide.select("month", "month_name", *revenue, *changes)
 
 
 def yoy_comparison(orders: DataFrame, dim_date: DataFrame, years: Sequence[int]) -> DataFrame:
     return yoy_growth(_on_dates(orders, dim_date.filter(F.col("year").isin(*years)), "year", "month", "month_name"), years)
 
 
-MART_NAMES = (
-    "monthly_revenue", "revenue_by_region", "revenue_by_segment", "top_products", "category_performance",
-    "campaign_roi", "customer_ltv", "cohort_monthly", "channel_performance", "yoy_comparison",
-)
+# Order of the rows of each mart; a minus sign means falling. The last column breaks ties.
+ROW_ORDER = {
+    "monthly_revenue": ("year", "month"),
+    "revenue_by_region": ("year", "-total_revenue", "region"),
+    "revenue_by_segment": ("year", "-total_revenue", "segment"),
+    "top_products": ("-total_revenue", "product_id"),
+    "category_performance": ("year", "-total_revenue", "category"),
+    "campaign_roi": ("-attributed_revenue", "campaign_id"),
+    "customer_ltv": ("-total_revenue", "customer_id"),
+    "cohort_monthly": ("cohort_month", "activity_month"),
+    "channel_performance": ("year", "-total_revenue", "channel"),
+    "yoy_comparison": ("month",),
+}
+MART_NAMES = tuple(ROW_ORDER)
+
+
+def in_order(df: DataFrame, name: str) -> DataFrame:
+    """The rows of a mart in their order; Spark drops the sort again where a report aggregates."""
+    columns = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in ROW_ORDER[name]]
+    return df.orderBy(*columns)
 
 
 class Marts:
     """The marts of one warehouse by name.
 
     With a store, a mart is written when first used, so that reports, exports and views share
-    one computation; without, it is a plain DataFrame over the warehouse tables.
+    one computation; without, it is a plain DataFrame over the warehouse tables. It is written
+    unsorted and sorted on the way out, which costs only those who want all rows in order.
     """
 
     def __init__(self, warehouse: Warehouse, store: Store | None = None):
@@ -332,7 +341,8 @@ class Marts:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._ready:
             df = self._define(name)
-            self._ready[name] = self.store.save(df, f"mart_{name}") if self.store else df
+            written = self.store.save(df, f"mart_{name}") if self.store else df
+            self._ready[name] = in_order(written, name)
         return self._ready[name]
 
     def items(self):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from salesloom.operators import clean, quality
 from salesloom.operators.dedup import keep_first
-from salesloom.plans import marts
+from salesloom.plans import marts, reports
 from salesloom.plans.marts import MART_NAMES, Marts
 
 
@@ -25,6 +25,13 @@ def test_line_marts_read_revenue_partitions_only(sample, name):
     assert "payment_method" not in plan
 
 
+def test_reports_do_not_sort_the_mart_they_aggregate(sample, store):
+    plan = plan_of(reports.report_ltv_tiers(Marts(sample, store)["customer_ltv"]), "simple")
+    assert plan.count("rangepartitioning") <= 1
+    top = plan_of(reports.best_customers(Marts(sample, store)["customer_ltv"]), "simple")
+    assert "TakeOrderedAndProject" in top and "rangepartitioning" not in top
+
+
 def test_deduplication_drops_copies_before_the_shuffle(spark, sample):
     raw = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     lines = plan_of(keep_first(raw, "l_orderkey", ["l_linenumber"]), "simple").splitlines()
