@@ -27,8 +27,9 @@ class Store:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name))
-        # Partition columns come back last, in their own order.
-        return self.load(name).select(*df.columns)
+        # The schema is known: no footer has to be read, and a partitioned table without rows,
+        # which has no file at all, can be read too. Partition columns come back last.
+        return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)
 
     def load(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))

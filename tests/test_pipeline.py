@@ -86,6 +86,13 @@ def test_phases_run_one_after_the_other(spark, folder, raw_folder):
         pipeline.run_pipeline(spark, raw_folder, out, SETTINGS, only="gen")
 
 
+def test_a_calendar_without_any_order_gives_empty_marts(spark, folder, raw_folder):
+    early = Settings(calendar_start=date(2010, 1, 1), calendar_end=date(2010, 12, 31))
+    run = pipeline.run_pipeline(spark, raw_folder, f"{folder}/out", early, csv_copies=False)
+    assert run.reports["report_topline"].first().total_orders == 0
+    assert all(spark.table(f"vw_{name}").isEmpty() for name in MART_NAMES)
+
+
 def test_missing_sources_do_not_stop_the_first_phase(spark, folder, raw_folder):
     incomplete = Path(folder) / "incomplete"
     incomplete.mkdir()

@@ -126,3 +126,11 @@ def test_table_existence(spark, store):
     assert not store.exists("t")
     store.save(spark.range(1).toDF("id"), "t")
     assert store.exists("t")
+
+
+def test_a_partitioned_table_without_rows_can_be_read(spark, store):
+    empty = spark.range(0).selectExpr("id", "CAST(id AS INT) AS year")
+    saved = store.save(empty, "t", ["year"])
+    assert saved.columns == ["id", "year"] and saved.count() == 0
+    filled = store.save(spark.range(3).selectExpr("CAST(id AS INT) AS year", "id"), "t", ["year"])
+    assert filled.dtypes == [("year", "int"), ("id", "bigint")] and filled.count() == 3
