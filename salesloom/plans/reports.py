@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from salesloom import config
 from salesloom.functions.numeric import mean, percent, ratio, zero_if_null
 from salesloom.plans.marts import Marts, per_customer, per_group, yoy_names
 
