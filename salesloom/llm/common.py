@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesloom.session import fresh_folder
 from salesloom.sources.store import Store
@@ -29,3 +30,10 @@ def split_words(text: Column, between: str) -> Column:
     return F.filter(F.split(text, between), lambda w: w != "")
 
 
+
+
+def parameter_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """Rows given by the caller as a local relation: the planner knows its size, and broadcasts it
+    if that is below the session's threshold. A table made of Python rows has no size for it."""
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
+    return spark.createDataFrame(pa.table(columns))

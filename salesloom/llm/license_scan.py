@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from salesloom.llm.common import NOT_LETTERS, ascii_lower, split_words
+from salesloom.llm.common import NOT_LETTERS, ascii_lower, parameter_table, split_words
 
 # Phrases of the contract, and well-known license notices.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -71,8 +71,8 @@ def template_table(spark: SparkSession, phrases=None, notices=None) -> DataFrame
             pairs = [(i, a, b) for i, (a, b) in enumerate(zip(words, words[1:], strict=False))]
             voting = [x for x in pairs if exact or not {x[1], x[2]} <= FUNCTION_WORDS]
             rows += [(label, exact, len(words), len(voting), i, f"{a} {b}") for i, a, b in voting]
-    schema = "label string, exact boolean, words int, votes int, t_place int, t_pair string"
-    return spark.createDataFrame(rows, schema).withColumn("t_hash", F.xxhash64("t_pair"))
+    names = ["label", "exact", "words", "votes", "t_place", "t_pair"]
+    return parameter_table(spark, rows, names).withColumn("t_hash", F.xxhash64("t_pair"))
 
 
 def find_licenses(docs: DataFrame, templates: DataFrame, voting: Voting | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

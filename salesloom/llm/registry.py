@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import license_scan, quality_rules, sql, url_filter
+from salesloom.llm import license_scan, quality_rules, secret_scan, sharding, sql, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(_table(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharding_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(_table(spark, sf_dir, "documents"))
 
@@ -26,7 +34,9 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op2_license_scan": op2_license_scan,
+        "op5_sharding": op5_sharding,
         "op6_quality_rules": op6_quality_rules,
         "op8_url_filter": op8_url_filter,
     }

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from salesloom.llm.common import ascii_lower
+from salesloom.llm.common import ascii_lower, parameter_table
 
 SHORT_DIGITS = 8
 #: The rules of the registered query: verdict, host, path.
@@ -29,7 +29,7 @@ RULES = (
 
 
 def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "verdict string, host string, path string")
+    return parameter_table(spark, list(rules), ["verdict", "host", "path"])
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
