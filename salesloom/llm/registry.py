@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import license_scan, quality_rules, secret_scan, sharding, sql, url_filter
+from salesloom.llm import decontaminate, license_scan, packing, quality_rules, secret_scan, sharding, sql, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.rules_table(spark))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -39,6 +47,8 @@ def queries():
         "op5_sharding": op5_sharding,
         "op6_quality_rules": op6_quality_rules,
         "op8_url_filter": op8_url_filter,
+        "op9_decontamination": op9_decontamination,
+        "op10_packing": op10_packing,
     }
 
 
