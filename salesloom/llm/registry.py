@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import decontaminate, license_scan, packing, quality_rules, secret_scan, sharding, sql, url_filter
+from salesloom.llm import decontaminate, license_scan, packing, quality_rules, secret_scan, sharding, sql, substring_dedup, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_report(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def queries():
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_license_scan": op2_license_scan,
+        "op3_substring_dedup": op3_substring_dedup,
         "op5_sharding": op5_sharding,
         "op6_quality_rules": op6_quality_rules,
         "op8_url_filter": op8_url_filter,
