@@ -99,7 +99,8 @@ def frequent_lines(measured: DataFrame, limits: Limits) -> DataFrame:
     lines = measured.select("_q_host", "_q_text_hash", F.explode(F.array_distinct("_q_line_hashes.h")).alias("h")).distinct()
     counted = lines.groupBy("_q_host", "h").agg(F.count("*").alias("n")).filter(F.col("n") >= limits.line_texts)
     over = counted.join(totals, "_q_host").filter(F.col("n") > limits.line_share * F.col("texts"))
-    return over.groupBy("_q_host").agg(F.collect_set("h").alias("_q_frequent"))
+    # Written, so that the planner knows how small it is and does not deal the documents out by host.
+    return kept(over.groupBy("_q_host").agg(F.collect_set("h").alias("_q_frequent")), "frequent")
 
 
 def judge_quality(
