@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import decontaminate, license_scan, packing, quality_rules, secret_scan, sharding, sql, substring_dedup, url_filter
+from salesloom.llm import decontaminate, language_model, license_scan, packing, quality_rules, secret_scan, sharding, sql, substring_dedup, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return url_filter.judge_urls(pages, url_filter.rules_table(spark))
@@ -51,6 +55,7 @@ def queries():
         "op3_substring_dedup": op3_substring_dedup,
         "op5_sharding": op5_sharding,
         "op6_quality_rules": op6_quality_rules,
+        "op7_language_model": op7_language_model,
         "op8_url_filter": op8_url_filter,
         "op9_decontamination": op9_decontamination,
         "op10_packing": op10_packing,
