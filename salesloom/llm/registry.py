@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import decontaminate, language_model, license_scan, packing, quality_rules, secret_scan, sharding, sql, substring_dedup, url_filter
+from salesloom.llm import decontaminate, language_model, license_scan, near_dedup, packing, quality_rules, secret_scan, sharding, sql, substring_dedup, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats_report(_table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    like = near_dedup.Likeness(words=3, percent=85)
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), like)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_report(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def queries():
         "op1_secret_scan": op1_secret_scan,
         "op2_license_scan": op2_license_scan,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_near_dedup": op4_near_dedup,
         "op5_sharding": op5_sharding,
         "op6_quality_rules": op6_quality_rules,
         "op7_language_model": op7_language_model,
