@@ -18,20 +18,24 @@ LTV_TIER_NAMES = ("Platinum", "Gold", "Silver", "Bronze")
 
 @dataclass(frozen=True)
 class Settings:
-    """One run's parameters. The defaults are the published sample's."""
+    """One run's parameters."""
 
-    calendar_start: date = date(2022, 1, 1)
-    calendar_end: date = date(2024, 12, 31)
-    as_of: date = date(2024, 12, 31)
-    yoy_years: tuple[int, int, int] = (2022, 2023, 2024)
+    # Without bounds the calendar has the whole years from the first to the last order.
+    calendar_start: date | None = None
+    calendar_end: date | None = None
+    # Tenure is counted up to this day, or up to the day of the run.
+    as_of: date | None = None
+    # Three years side by side, or the last three of the calendar.
+    yoy_years: tuple[int, int, int] | None = None
     # Strict lower bounds of Platinum, Gold and Silver; everything else is Bronze.
     ltv_thresholds: tuple[int, int, int] = (500_000, 200_000, 50_000)
     high_value_quantile: float = 0.95
-    attribution_percent: int = 40
     price_fallback_factor: str = "1.5"
     max_null_percent: float = 5.0
 
     def __post_init__(self) -> None:
-        # The calendar is broadcast into every fact join, so its size is bounded here.
-        if not 0 <= (self.calendar_end - self.calendar_start).days < 100_000:
+        bounds = (self.calendar_start, self.calendar_end)
+        if (None in bounds) != (bounds == (None, None)):
+            raise ValueError("the calendar needs both bounds or none")
+        if None not in bounds and not 0 <= (self.calendar_end - self.calendar_start).days < 100_000:
             raise ValueError("calendar must span between 1 and 100,000 days")

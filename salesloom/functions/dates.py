@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def parse_date(df: DataFrame, name: str) -> Column:
-    """ISO text to a date, unreadable text to NULL; typed dates and timestamps pass through."""
+    """ISO text, with a time of day or without, to a date; unreadable text to NULL; typed dates and
+    timestamps pass through."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        return F.try_to_date(F.col(name), "yyyy-MM-dd")
+        text = F.col(name)
+        timed = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[ T]"), F.try_to_timestamp(text).cast("date"))
+        return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), timed)
     return F.col(name).cast("date")
 
 

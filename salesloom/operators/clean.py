@@ -43,9 +43,10 @@ def accepted_or_unknown(col: Column, accepted: Sequence[str]) -> Column:
     return F.when(F.coalesce(col.isin(*accepted), F.lit(False)), col).otherwise(F.lit(config.UNKNOWN))
 
 
-def clean_customers(df: DataFrame, as_of: date, order_by: Sequence[str] | None = None) -> DataFrame:
+def clean_customers(df: DataFrame, as_of: date | None = None, order_by: Sequence[str] | None = None) -> DataFrame:
     joined = parse_date(df, "joined_date")
-    tenure = F.datediff(F.lit(as_of), F.col("joined_date"))
+    until = F.current_date() if as_of is None else F.lit(as_of)
+    tenure = F.datediff(until, F.col("joined_date"))
     scores = {"loyalty_score": coerce_number(F.col("loyalty_score"))} if "loyalty_score" in df.columns else {}
     cleaned = df.withColumns(
         {

@@ -18,30 +18,19 @@ FACT_COLUMNS = (
 # Every mart reads revenue lines only, and the year is the usual filter.
 FACT_PARTITIONS = ("is_revenue", "order_year")
 
-ORDER_FIELDS = ("order_id", "customer_id", "order_date", "status", "channel", "payment_method", "is_revenue")
-
-
-def hashed_bucket(item_id: Column) -> Column:
-    """Number from 0 to 99 that depends on the line's own id only."""
-    return F.pmod(F.xxhash64(item_id), F.lit(100))
-
-
-def hashed_choice(item_id: Column) -> Column:
-    return F.xxhash64(F.lit("campaign"), item_id)
+#: A line's own campaign id, in sources that have it.
+CAMPAIGN_REFERENCE = "campaign_ref"
 
+ORDER_FIELDS = ("order_id", "customer_id", "order_date", "status", "channel", "payment_method", "is_revenue")
 
-def attribute_campaign(
-    lines: DataFrame, campaigns: DataFrame, bucket: Column, choice: Column, percent_attributed: int
-) -> DataFrame:
-    """Give a share of the completed lines a campaign.
 
-    Campaign keys are dense, so the pick is arithmetic on the line and needs no join; it does
-    not change with partitioning or on a retry, unlike a random draw.
-    """
-    keys = campaigns.agg(F.count(F.lit(1)).alias("n")).scalar()
-    chosen = F.pmod(choice, F.nullif(keys, F.lit(0))) + 1
-    hit = (F.col("status") == config.REVENUE_STATUS) & (bucket < percent_attributed)
-    return lines.withColumn("campaign_key", F.when(hit, chosen).cast("bigint"))
+def with_campaign(lines: DataFrame, dim_campaign: DataFrame) -> DataFrame:
+    """The campaign that a completed line names; none if the source names none or an unknown one."""
+    if CAMPAIGN_REFERENCE not in lines.columns:
+        return lines.withColumn("campaign_key", F.lit(None).cast("bigint"))
+    named = F.when(F.col("status") == config.REVENUE_STATUS, F.col(CAMPAIGN_REFERENCE))
+    campaigns = dim_campaign.select(F.col("campaign_id").alias("_named"), "campaign_key")
+    return lines.withColumn("_named", named).join(campaigns, "_named", "left")
 
 
 def _keyed_orders(orders: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, how: str) -> DataFrame:
@@ -50,7 +39,7 @@ def _keyed_orders(orders: DataFrame, dim_customer: DataFrame, dim_date: DataFram
     return (
         orders.select(*ORDER_FIELDS)
         .join(dim_customer.select("customer_id", "customer_key"), "customer_id", how)
-        .join(F.broadcast(dates), "order_date", how)
+        .join(dates, "order_date", how)
     )
 
 
@@ -73,7 +62,8 @@ def with_measures(lines: DataFrame) -> DataFrame:
                 "discount_pct": amount("discount_pct"),
                 "discount_amt": amount("discount_amt"),
                 "is_revenue": flag(sold),
-                "line_revenue": F.when(sold, amount("line_total")).otherwise(zero),
+                # Rounded here for the first time; an amount beyond the type stops the run.
+                "line_revenue": F.when(sold, F.round(amount("line_total"), 2).cast(MONEY)).otherwise(zero),
             }
         )
         .withColumn(
@@ -92,22 +82,16 @@ def build_fact(
     dim_customer: DataFrame,
     dim_product: DataFrame,
     dim_campaign: DataFrame,
-    bucket: Column | None = None,
-    choice: Column | None = None,
-    percent_attributed: int = 40,
 ) -> DataFrame:
     """One row per order line whose order, date, customer and product all resolve.
 
-    Two shuffles at line grain at most: by order, then by product unless the product
-    dimension turns out small enough for Spark to broadcast it.
+    Shuffles at line grain: by order, and by product and by campaign unless those dimensions are
+    small enough for Spark to broadcast them.
     """
-    bucket = hashed_bucket(F.col("item_id")) if bucket is None else bucket
-    choice = hashed_choice(F.col("item_id")) if choice is None else choice
     lines = items.join(_keyed_orders(orders, dim_customer, dim_date, "inner"), "order_id").join(
         dim_product.select("product_id", "product_key", "unit_cost"), "product_id"
     )
-    attributed = attribute_campaign(lines, dim_campaign, bucket, choice, percent_attributed)
-    return with_measures(attributed).select(
+    return with_measures(with_campaign(lines, dim_campaign)).select(
         *[F.col("status").alias(c) if c == "order_status" else F.col(c) for c in FACT_COLUMNS],
         F.year("order_date").alias("order_year"),
     )
@@ -136,6 +120,15 @@ def fact_rejects(
     )
 
 
+REJECT_REASONS = ("missing_order", "missing_date", "missing_customer", "missing_product")
+
+
+def reject_summary(rejects: DataFrame) -> DataFrame:
+    """Rejected lines per reason, zero included; a line may have several."""
+    counts = rejects.agg(*[F.coalesce(F.sum(r), F.lit(0)).alias(r) for r in REJECT_REASONS])
+    return counts.unpivot([], list(REJECT_REASONS), "reason", "rows")
+
+
 def fact_summary(fact: DataFrame) -> DataFrame:
     """Row counts, totals and the revenue-weighted margin."""
     sold = F.col("is_revenue") == 1

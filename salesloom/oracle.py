@@ -41,18 +41,20 @@ PRELUDE = f"""
 raw_customers AS (
   SELECT c_custkey AS customer_id, ' ' || upper(c_name) AS name, c_name || '@EXAMPLE.COM ' AS email,
          r_name AS region, n_name AS city, n_name AS country, c_mktsegment || ' ' AS segment,
-         strftime(DATE '1993-01-01' + CAST(c_custkey % 1461 AS INTEGER), '%Y-%m-%d') AS joined_date,
+         CASE WHEN c_custkey % 113 = 0 THEN '1993-02-31'
+              ELSE strftime(DATE '1993-01-01' + CAST(c_custkey % 1461 AS INTEGER), '%Y-%m-%d') END AS joined_date,
          c_acctbal AS loyalty_score,
          CASE WHEN c_custkey % 10 <> 0 THEN CAST(c_custkey % 7 <> 0 AS INTEGER) END AS is_active
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey),
 customers AS (
   SELECT customer_id, {_title("trim(name)")} AS name, lower(trim(email)) AS email,
          {_title("trim(region)")} AS region, city, country, {_title("trim(segment)")} AS segment,
-         CAST(joined_date AS DATE) AS joined_date, loyalty_score, COALESCE(is_active, 1) AS is_active,
-         CAST(year(CAST(joined_date AS DATE)) AS INTEGER) AS joined_year,
-         CAST(month(CAST(joined_date AS DATE)) AS INTEGER) AS joined_month,
-         CAST(greatest(date_diff('day', CAST(joined_date AS DATE), DATE '2001-12-31'), 0) AS INTEGER) AS tenure_days
-  FROM raw_customers),
+         joined_date, loyalty_score, COALESCE(is_active, 1) AS is_active,
+         CAST(year(joined_date) AS INTEGER) AS joined_year,
+         CAST(month(joined_date) AS INTEGER) AS joined_month,
+         CAST(CASE WHEN joined_date IS NOT NULL THEN greatest(date_diff('day', joined_date, DATE '2001-12-31'), 0) END AS INTEGER)
+           AS tenure_days
+  FROM (SELECT * REPLACE (TRY_CAST(joined_date AS DATE) AS joined_date) FROM raw_customers)),
 raw_products AS (
   SELECT p_partkey AS product_id, p_name AS name, p_type AS category, p_brand AS sub_category,
          round(CAST(p_retailprice AS DECIMAL(18,2)) * 0.6, 2) AS unit_cost,
@@ -74,16 +76,21 @@ products AS (
 order_lines AS (
   SELECT l_orderkey, CAST(min(l_shipdate) AS DATE) AS shipped_date, COUNT(*) AS num_items
   FROM lineitem GROUP BY l_orderkey),
+raw_orders AS (
+  SELECT *, CASE WHEN o_orderkey % 101 = 0 THEN 'unknown' WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+                 ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
+         CASE WHEN o_orderstatus = 'F' THEN ' completed' WHEN o_orderstatus = 'O' AND o_orderkey % 4 = 0 THEN 'cancelled'
+              WHEN o_orderstatus = 'O' THEN 'RETURNED ' WHEN o_orderkey % 2 = 0 THEN 'Pending' ELSE lower(o_orderstatus) END AS status
+  FROM orders),
 typed_orders AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date, shipped_date,
-         {_title("trim(CASE o_orderstatus WHEN 'F' THEN ' completed' WHEN 'O' THEN 'RETURNED ' ELSE lower(o_orderstatus) END)")}
-           AS raw_status,
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(TRY_CAST(order_date AS TIMESTAMP) AS DATE) AS order_date, shipped_date,
+         {_title("trim(status)")} AS raw_status,
          {_title("trim(split_part(o_orderpriority, '-', 2))")} AS channel,
          {_pick("o_orderkey", "Card", "Cash", "Transfer", "Wallet", "Invoice")} AS payment_method,
          CAST(o_totalprice AS DECIMAL(18,2)) AS order_total,
          CASE WHEN o_orderkey % 9 <> 0 THEN round(CAST(o_totalprice AS DECIMAL(18,2)) * 0.3, 2) ELSE 0 END AS order_profit,
          CAST(COALESCE(num_items, 1) AS INTEGER) AS num_items
-  FROM orders LEFT JOIN order_lines ON o_orderkey = l_orderkey),
+  FROM raw_orders LEFT JOIN order_lines ON o_orderkey = l_orderkey),
 clean_orders AS (
   SELECT order_id, customer_id, order_date, shipped_date,
          CASE WHEN raw_status IN ('Completed', 'Returned', 'Cancelled', 'Pending') THEN raw_status ELSE 'Unknown' END AS status,
@@ -152,7 +159,8 @@ dim_date AS (
          CAST(CASE WHEN month(d) >= 4 THEN year(d) ELSE year(d) - 1 END AS INTEGER) AS fiscal_year,
          CAST(CASE WHEN month(d) >= 4 THEN (month(d) - 4) // 3 + 1 ELSE 4 END AS INTEGER) AS fiscal_quarter,
          strftime(d, '%Y-%m') AS year_month
-  FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS d)),
+  FROM (SELECT CAST(unnest(generate_series(make_date(year(min(order_date)), 1, 1), make_date(year(max(order_date)), 12, 31), INTERVAL 1 DAY))
+               AS DATE) AS d FROM clean_orders)),
 dim_customer AS (SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, * FROM customers),
 dim_product AS (
   SELECT row_number() OVER (ORDER BY product_id) AS product_key, * REPLACE (COALESCE(price_band, 'Unknown') AS price_band)
@@ -164,12 +172,11 @@ joined AS (
   FROM items i JOIN clean_orders o USING (order_id) JOIN dim_date d ON o.order_date = d.full_date
   JOIN dim_customer c ON o.customer_id = c.customer_id JOIN dim_product p ON i.product_id = p.product_id),
 measured AS (
-  SELECT *, CASE WHEN status = 'Completed' AND (order_id * 7 + line_no * 13 + product_id) % 100 < 40
-              THEN campaign_ref % (SELECT COUNT(*) FROM dim_campaign) + 1 END AS campaign_key,
+  SELECT j.*, c.campaign_key,
          CASE WHEN is_revenue = 1 THEN line_total ELSE 0 END AS line_revenue,
          CASE WHEN is_revenue = 1 THEN unit_cost * quantity ELSE 0 END AS line_cost,
          CASE WHEN is_revenue = 1 THEN line_total - unit_cost * quantity ELSE 0 END AS sold_profit
-  FROM joined),
+  FROM joined j LEFT JOIN dim_campaign c ON j.status = 'Completed' AND j.campaign_ref = c.campaign_id),
 fact AS (
   SELECT date_key, customer_key, product_key, campaign_key, order_id, item_id, channel, payment_method,
          status AS order_status, quantity, unit_price, unit_cost, discount_pct, discount_amt, line_revenue, line_cost,
@@ -278,7 +285,7 @@ top10_customers AS (
   FROM customer_ltv ORDER BY total_revenue DESC, customer_id LIMIT 10),
 cohort_list AS (
   SELECT cohort_month, activity_month, active_customers, round(cohort_revenue, 0) AS revenue
-  FROM cohort_monthly ORDER BY cohort_month, activity_month LIMIT 300),
+  FROM cohort_monthly),
 shares AS (
   SELECT 'category' AS dimension, 'revenue' AS measure, category AS label, CAST(revenue AS DECIMAL(38,2)) AS value FROM category_rollup
   UNION ALL SELECT 'ltv_tier', 'revenue', ltv_tier, CAST(revenue AS DECIMAL(38,2)) FROM ltv_tier_stats
@@ -436,13 +443,10 @@ def _null_report() -> str:
     return f'SELECT dataset, "column", nulls, ({pct})::DOUBLE AS null_pct FROM ({parts}) WHERE nulls > 0'
 
 
-_MATRIX_MONTHS = [f"{y}-{m:02d}" for y in (1995, 1996) for m in range(1, 13)]
-
-
 def _matrix() -> str:
-    cells = ", ".join(
-        f"MAX(revenue) FILTER (activity_month = '{m}')::DOUBLE AS \"{m}\"" for m in _MATRIX_MONTHS
-    )
+    """Columns are the first 24 months of the data: 1995 has orders from its first month on at every scale."""
+    months = [f"{y}-{m:02d}" for y in (1995, 1996) for m in range(1, 13)]
+    cells = ", ".join(f"MAX(revenue) FILTER (activity_month = '{m}')::DOUBLE AS \"{m}\"" for m in months)
     first = "SELECT DISTINCT cohort_month FROM cohort_list ORDER BY 1 LIMIT 12"
     return f"SELECT cohort_month, {cells} FROM cohort_list WHERE cohort_month IN ({first}) GROUP BY cohort_month"
 
@@ -461,7 +465,7 @@ SELECT i.item_id, i.order_id, i.product_id, CAST(o.order_id IS NULL AS INTEGER)
        CAST(o.order_id IS NOT NULL AND c.customer_key IS NULL AS INTEGER) AS missing_customer,
        CAST(p.product_key IS NULL AS INTEGER) AS missing_product
 FROM items i LEFT JOIN clean_orders o USING (order_id)
-LEFT JOIN (SELECT * FROM dim_date WHERE year BETWEEN 1996 AND 2000) d ON o.order_date = d.full_date
+LEFT JOIN dim_date d ON o.order_date = d.full_date
 LEFT JOIN dim_customer c ON o.customer_id = c.customer_id LEFT JOIN dim_product p ON i.product_id = p.product_id
 WHERE o.order_id IS NULL OR d.date_key IS NULL OR c.customer_key IS NULL OR p.product_key IS NULL
 """
@@ -620,6 +624,10 @@ FINAL = {
         "FROM fact WHERE is_revenue = 1 GROUP BY ALL"
     ),
     "fact_rejects": _REJECTED,
+    "reject_summary": " UNION ALL ".join(
+        f"SELECT '{r}' AS reason, CAST(COALESCE(SUM({r}), 0) AS BIGINT) AS rows FROM ({_REJECTED})"
+        for r in ("missing_order", "missing_date", "missing_customer", "missing_product")
+    ),
     "fact_summary": (
         "SELECT COUNT(*) AS fact_rows, COUNT(*) FILTER (is_revenue = 1) AS revenue_rows, SUM(line_revenue)::DOUBLE AS total_revenue, "
         f"SUM(line_profit)::DOUBLE AS total_profit, ({_div('SUM(line_profit) * 10000', _scaled('SUM(line_revenue)'), 1)})::DOUBLE "
@@ -635,10 +643,10 @@ FINAL = {
     "null_report": _null_report(),
     "quality_report": _quality(),
     "date_parse_report": " UNION ALL ".join(
-        f"SELECT '{s}' AS source, '{c}' AS \"column\", COUNT(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS DATE) IS NULL) AS unreadable, "
-        f"COUNT(*) FILTER ({c} IS NULL) AS missing, COUNT(*) FILTER (TRY_CAST({c} AS DATE) IS NULL) AS null_dates FROM {t}"
+        f"SELECT '{s}' AS source, '{c}' AS \"column\", COUNT(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL) AS unreadable, "
+        f"COUNT(*) FILTER ({c} IS NULL) AS missing, COUNT(*) FILTER (TRY_CAST({c} AS TIMESTAMP) IS NULL) AS null_dates FROM {t}"
         for s, t, c in (
-            ("orders", "typed_orders", "order_date"), ("orders", "typed_orders", "shipped_date"),
+            ("orders", "raw_orders", "order_date"), ("orders", "typed_orders", "shipped_date"),
             ("customers", "raw_customers", "joined_date"),
             ("campaigns", "raw_campaigns", "start_date"), ("campaigns", "raw_campaigns", "end_date"),
         )

@@ -7,14 +7,13 @@ folder when a query first needs them and read from then on.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesloom import config
 from salesloom.functions.numeric import publish
-from salesloom.operators import clean, dims, fact, quality
+from salesloom.operators import clean, fact, quality
 from salesloom.operators.dedup import removed_duplicates
 from salesloom.operators.quantile import exact_quantile
 from salesloom.plans import charts, pipeline, reports
@@ -44,8 +43,6 @@ def new_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         testbed.SETTINGS,
         lambda source: testbed.raw_source(spark, sf_dir, source),
         testbed.ORDER_BY,
-        testbed.attribution_bucket,
-        testbed.attribution_choice,
     )
 
 
@@ -98,7 +95,7 @@ REPORTS: dict[str, Query] = {
     "report_by_channel": _on_marts(lambda m: reports.report_by_channel(m["channel_performance"])),
     "kpi_cards": _on_marts(lambda m: reports.kpi_cards(m.warehouse.order_sales, m["monthly_revenue"])),
     "monthly_trend": _on_marts(lambda m: reports.monthly_trend(m["monthly_revenue"])),
-    "yoy_table": _on_marts(lambda m: reports.yoy_table(m["yoy_comparison"], m.warehouse.settings.yoy_years)),
+    "yoy_table": _on_marts(lambda m: reports.yoy_table(m["yoy_comparison"], m.warehouse.yoy_years)),
     "region_rollup": _on_marts(lambda m: reports.region_rollup(m["revenue_by_region"])),
     "segment_rollup": _on_marts(lambda m: reports.segment_rollup(m["revenue_by_segment"])),
     "channel_rollup": _on_marts(lambda m: reports.channel_rollup(m["channel_performance"])),
@@ -193,20 +190,15 @@ CLEANING: dict[str, Query] = {
 }
 
 
-def _rejects(w: Warehouse) -> DataFrame:
-    """With a calendar that is too short, so that there are lines to reject."""
-    dates = dims.calendar(w.spark, date(1996, 1, 1), date(2000, 12, 31))
-    return fact.fact_rejects(w.staged("order_items"), w.staged("orders"), dates, w.dim_customer, w.dim_product)
-
-
 WAREHOUSE: dict[str, Query] = {
-    "dim_date": _on_raw("orders", lambda raw: dims.calendar_covering(raw, "order_date")),
+    "dim_date": _on_warehouse(lambda w: w.dim_date),
     "dim_customer": _on_warehouse(lambda w: w.dim_customer),
     "dim_product": _on_warehouse(lambda w: w.dim_product),
     "dim_campaign": _on_warehouse(lambda w: w.dim_campaign),
     "fact_sales": _on_warehouse(lambda w: w.fact_sales.select(*fact.FACT_COLUMNS)),
     "order_sales": _on_warehouse(lambda w: w.order_sales),
-    "fact_rejects": _on_warehouse(_rejects),
+    "fact_rejects": _on_warehouse(lambda w: w.fact_rejects),
+    "reject_summary": _on_warehouse(lambda w: fact.reject_summary(w.fact_rejects)),
     "fact_summary": _on_warehouse(lambda w: fact.fact_summary(w.fact_sales)),
     "warehouse_counts": _on_warehouse(lambda w: pipeline.warehouse_summary(w.tables())),
     "campaign_attribution": _on_warehouse(

@@ -16,8 +16,8 @@ def cohort_matrix(
 ) -> DataFrame:
     """First cohorts by first activity months of a cohort list; a missing pair is NULL.
 
-    The list is cut to a few hundred rows before it gets here, so its month labels, which
-    become columns, may be looked up; pass `months` to fix them.
+    A heat map shows so many `cohorts` and so many months; the months become columns, so their
+    labels, at most `month_count`, are looked up unless given.
     """
     if months is None:
         labels = listed.select("activity_month").distinct().orderBy("activity_month").limit(month_count)

@@ -73,7 +73,8 @@ def _measures(*names: str) -> list[Column]:
 
 
 def _on_dates(orders: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
-    return orders.join(F.broadcast(dim_date.select("date_key", *columns)), "date_key")
+    """The calendar is a small written table: Spark knows its size, and broadcasts it."""
+    return orders.join(dim_date.select("date_key", *columns), "date_key")
 
 
 def month_labels(dim_date: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def month_labels(dim_date: DataFrame) -> DataFrame:
 def monthly_revenue(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     by_month = per_group(per_customer(_on_dates(orders, dim_date, "year_month"), ["year_month"]), ["year_month"])
     return (
-        by_month.join(F.broadcast(month_labels(dim_date)), "year_month")
+        by_month.join(month_labels(dim_date), "year_month")
         .select(
             "year", "month", "month_name", "year_month", "quarter",
             *_measures(
@@ -225,8 +226,8 @@ def customer_ltv(
     last = dim_date.select(F.col("date_key").alias("last_key"), F.col("full_date").alias("last_order_date"))
     who = ["customer_id", "name", "region", "segment", "joined_date", "tenure_days", "loyalty_score"]
     return (
-        customers.join(F.broadcast(first), "first_key")
-        .join(F.broadcast(last), "last_key")
+        customers.join(first, "first_key")
+        .join(last, "last_key")
         .join(dim_customer.select("customer_key", *who), "customer_key")
         .select(
             *who,
@@ -334,7 +335,7 @@ class Marts:
             "customer_ltv": lambda: customer_ltv(w.order_sales, w.dim_date, w.dim_customer, w.settings.ltv_thresholds),
             "cohort_monthly": lambda: cohort_monthly(w.order_sales, w.dim_date),
             "channel_performance": lambda: channel_performance(w.order_sales, w.dim_date),
-            "yoy_comparison": lambda: yoy_comparison(w.order_sales, w.dim_date, w.settings.yoy_years),
+            "yoy_comparison": lambda: yoy_comparison(w.order_sales, w.dim_date, w.yoy_years),
         }
         return definitions[name]()
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesloom.config import Settings
 from salesloom.functions.numeric import publish
-from salesloom.operators import clean, quality
+from salesloom.operators import clean, fact, quality
 from salesloom.plans.marts import Marts
 from salesloom.plans.reports import run_reports
 from salesloom.plans.warehouse import Warehouse
@@ -22,14 +22,6 @@ log = logging.getLogger(__name__)
 
 PHASES = ("etl", "warehouse")
 
-# Marts whose row count the calendar, the regions and the like bound; the others have a row
-# per product, campaign or customer.
-SMALL_MARTS = (
-    "monthly_revenue", "revenue_by_region", "revenue_by_segment", "category_performance",
-    "cohort_monthly", "channel_performance", "yoy_comparison",
-)
-
-
 @dataclass
 class Run:
     """What a run has produced, by name."""
@@ -49,11 +41,11 @@ def register_views(marts: Marts, prefix: str = "vw_") -> list[str]:
 
 
 def export_marts(marts: Marts, folder: str) -> dict[str, str]:
-    """Every mart as CSV; one file each where the result is small whatever the data."""
+    """Every mart as CSV, in its order."""
     paths = {}
     for name, df in marts.items():
         paths[name] = f"{folder.rstrip('/')}/{name}"
-        sinks.write_csv(df, paths[name], single_file=name in SMALL_MARTS)
+        sinks.write_csv(df, paths[name])
     return paths
 
 
@@ -108,7 +100,10 @@ def run_warehouse(spark: SparkSession, store: Store, settings: Settings) -> tupl
     """Dimensions, fact, marts, views, reports and exports from what `run_etl` has staged."""
     staged = {source: store.load(table) for source, table in STAGING_TABLES.items()}
     warehouse = Warehouse.over_staging(spark, store, settings, staged)
-    results = {"warehouse": warehouse_summary(warehouse.tables())}
+    results = {
+        "warehouse": warehouse_summary(warehouse.tables()),
+        "rejects": fact.reject_summary(warehouse.fact_rejects),
+    }
     marts = Marts(warehouse, store)
     register_views(marts)
     results.update(run_reports(marts))

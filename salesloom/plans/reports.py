@@ -250,11 +250,10 @@ def ascending_by_revenue(top: DataFrame) -> DataFrame:
     return top.orderBy("revenue", "name")
 
 
-def cohort_list(cohorts: DataFrame, rows: int = 300) -> DataFrame:
-    return (
-        cohorts.orderBy("cohort_month", "activity_month")
-        .limit(rows)
-        .select("cohort_month", "activity_month", "active_customers", F.round("cohort_revenue", 0).alias("revenue"))
+def cohort_list(cohorts: DataFrame) -> DataFrame:
+    """All cohorts with all their months, in order."""
+    return cohorts.orderBy("cohort_month", "activity_month").select(
+        "cohort_month", "activity_month", "active_customers", F.round("cohort_revenue", 0).alias("revenue")
     )
 
 

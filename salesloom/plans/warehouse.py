@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesloom.config import Settings
 from salesloom.operators import clean, dims, fact
@@ -30,12 +31,9 @@ class Warehouse:
         settings: Settings,
         raw: Callable[[str], DataFrame] | None = None,
         order_by: dict[str, Sequence[str]] | None = None,
-        bucket: Callable[[], Column] | None = None,
-        choice: Callable[[], Column] | None = None,
     ):
         self.spark, self.store, self.settings = spark, store, settings
         self._raw, self._order_by = raw, order_by or {}
-        self._bucket, self._choice = bucket, choice
         self._ready: dict[str, DataFrame] = {}
 
     @classmethod
@@ -66,7 +64,21 @@ class Warehouse:
     @property
     def dim_date(self) -> DataFrame:
         s = self.settings
-        return self._table("dim_date", lambda: dims.calendar(self.spark, s.calendar_start, s.calendar_end))
+
+        def build() -> DataFrame:
+            if s.calendar_start and s.calendar_end:
+                return dims.calendar(self.spark, s.calendar_start, s.calendar_end)
+            return dims.calendar_covering(self.staged("orders"), "order_date")
+
+        return self._table("dim_date", build)
+
+    @property
+    def yoy_years(self) -> tuple[int, int, int]:
+        """The years compared: those set, or the last three of the calendar."""
+        if self.settings.yoy_years is None:
+            last = self.dim_date.agg(F.max("year")).first()[0] or 0
+            return (last - 2, last - 1, last)
+        return self.settings.yoy_years
 
     @property
     def dim_customer(self) -> DataFrame:
@@ -84,14 +96,15 @@ class Warehouse:
         """Build what the fact needs, all at once: none of it depends on the rest."""
         builds = (
             lambda: self.staged("order_items"),
-            lambda: self.staged("orders"),
+            # The orders come first here: the calendar may be bounded by them.
+            lambda: (self.staged("orders"), self.dim_date),
             lambda: self.dim_customer,
             lambda: self.dim_product,
             lambda: self.dim_campaign,
-            lambda: self.dim_date,
         )
         with ThreadPoolExecutor(len(builds)) as pool:
-            for done in [pool.submit(build) for build in builds]:
+            # Job groups and other local properties of the caller go along.
+            for done in [pool.submit(inheritable_thread_target(self.spark)(build)) for build in builds]:
                 done.result()
 
     @property
@@ -105,13 +118,21 @@ class Warehouse:
                 self.dim_customer,
                 self.dim_product,
                 self.dim_campaign,
-                self._bucket and self._bucket(),
-                self._choice and self._choice(),
-                self.settings.attribution_percent,
             )
 
         return self._table("fact_sales", build, fact.FACT_PARTITIONS)
 
+    @property
+    def fact_rejects(self) -> DataFrame:
+        """The lines that the fact leaves out, written like any table."""
+
+        def build() -> DataFrame:
+            return fact.fact_rejects(
+                self.staged("order_items"), self.staged("orders"), self.dim_date, self.dim_customer, self.dim_product
+            )
+
+        return self._table("fact_rejects", build)
+
     @property
     def order_sales(self) -> DataFrame:
         return self._table("agg_order_sales", lambda: fact.order_sales(self.fact_sales))

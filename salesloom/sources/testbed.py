@@ -15,8 +15,6 @@ from salesloom.functions.numeric import money
 from salesloom.operators.clean import campaign_rates
 
 SETTINGS = Settings(
-    calendar_start=date(1995, 1, 1),
-    calendar_end=date(2001, 12, 31),
     as_of=date(2001, 12, 31),
     yoy_years=(1998, 1999, 2000),
     ltv_thresholds=(1_000_000, 600_000, 300_000),
@@ -45,7 +43,7 @@ def raw_customers(table) -> DataFrame:
         F.col("n_name").alias("city"),
         F.col("n_name").alias("country"),
         F.concat(F.col("c_mktsegment"), F.lit(" ")).alias("segment"),
-        _day_after("1993-01-01", key % 1461).cast("string").alias("joined_date"),
+        F.when(key % 113 == 0, F.lit("1993-02-31")).otherwise(_day_after("1993-01-01", key % 1461).cast("string")).alias("joined_date"),
         F.col("c_acctbal").alias("loyalty_score"),
         F.when(key % 10 != 0, (key % 7 != 0).cast("int")).alias("is_active"),
     )
@@ -75,10 +73,14 @@ def raw_orders(table) -> DataFrame:
     return table("orders").join(lines, "o_orderkey", "left").select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.when(key % 101 == 0, F.lit("unknown"))
+        .when(key % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .alias("order_date"),
         "shipped_date",
         F.when(F.col("o_orderstatus") == "F", F.lit(" completed"))
-        .when(F.col("o_orderstatus") == "O", F.lit("RETURNED "))
+        .when(F.col("o_orderstatus") == "O", F.when(key % 4 == 0, F.lit("cancelled")).otherwise(F.lit("RETURNED ")))
+        .when(key % 2 == 0, F.lit("Pending"))
         .otherwise(F.lower("o_orderstatus"))
         .alias("status"),
         F.substring_index("o_orderpriority", "-", -1).alias("channel"),
@@ -153,12 +155,3 @@ def raw_source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
 
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {source: raw_source(spark, sf_dir, source) for source in RAW}
-
-
-def attribution_bucket() -> Column:
-    """0 to 99 from the line's keys, in plain integer arithmetic that any SQL engine repeats."""
-    return F.pmod(F.col("order_id") * 7 + F.col("line_no") * 13 + F.col("product_id"), F.lit(100))
-
-
-def attribution_choice() -> Column:
-    return F.col("campaign_ref")
