@@ -12,6 +12,7 @@ REVENUE_STATUS = "Completed"
 PRICE_BAND_EDGES = (0, 1000, 5000, 20000, 100000)
 PRICE_BAND_LABELS = ("Budget", "Mid-Range", "Premium", "Enterprise", "Luxury")
 SEGMENTS = ("Enterprise", "Smb", "Startup", "Consumer")
+REGIONS = ("North", "South", "East", "West", "Central")
 CHANNELS = ("Online", "Sales Rep", "Partner", "Direct")
 LTV_TIER_NAMES = ("Platinum", "Gold", "Silver", "Bronze")
 

@@ -1,9 +1,11 @@
 """Money, ratios and rounding.
 
-Money is DECIMAL(18,2): an eight-byte value whose sums do not depend on the order of
-partitions. Rounding is half away from zero and always happens on decimals, because binary
-doubles round differently from engine to engine. Results turn into doubles once, in
-`publish`.
+Amounts as they come are DECIMAL(24,4): twenty digits before the point, and nothing is rounded
+before the reference would round. What the warehouse computes from them is money,
+DECIMAL(18,2): an eight-byte value whose sums do not depend on the order of partitions; a
+value that does not fit it stops the run. Rounding is half away from zero and always happens
+on decimals, because binary doubles round differently from engine to engine. Results turn into
+doubles once, in `publish`.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MONEY = "decimal(18,2)"
-PERCENT = "decimal(18,4)"
+AMOUNT = "decimal(24,4)"
 
 
 def money(col: Column) -> Column:
@@ -19,6 +21,18 @@ def money(col: Column) -> Column:
     return col.try_cast(MONEY)
 
 
+def amount(col: Column) -> Column:
+    """Coerce to an amount. Anything unreadable (text, NaN) becomes NULL; a number of more than
+    twenty digits is not mistaken for that, but stops the run."""
+    number = col.try_cast("double")
+    return F.coalesce(col.try_cast(AMOUNT), F.when(~F.isnan(number), number).cast(AMOUNT))
+
+
+def coerce_count(col: Column) -> Column:
+    """Coerce to a whole number of any size, dropping a fraction such as that of 12.0."""
+    return F.coalesce(col.try_cast("bigint"), coerce_number(col).try_cast("bigint"))
+
+
 def coerce_number(col: Column) -> Column:
     """Coerce to double; anything unreadable (text, NaN) becomes NULL."""
     value = col.try_cast("double")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from salesloom import config
 from salesloom.functions.binning import bin_label
 from salesloom.functions.dates import flag, parse_date
-from salesloom.functions.numeric import MONEY, coerce_int, coerce_number, money, percent, ratio
+from salesloom.functions.numeric import AMOUNT, MONEY, amount, coerce_count, coerce_int, coerce_number, percent, ratio
 from salesloom.functions.text import clean_email, clean_label
 from salesloom.operators.dedup import keep_first
 from salesloom.operators.quantile import approximate_quantile, exact_quantile
@@ -72,10 +72,10 @@ def clean_customers(df: DataFrame, as_of: date | None = None, order_by: Sequence
 def clean_products(
     df: DataFrame, price_fallback_factor: str = "1.5", order_by: Sequence[str] | None = None
 ) -> DataFrame:
-    fallback = F.round(F.col("unit_cost") * F.lit(price_fallback_factor).cast("decimal(6,3)"), 2).cast(MONEY)
+    fallback = F.round(F.col("unit_cost") * F.lit(price_fallback_factor).cast("decimal(6,3)"), 2).cast(AMOUNT)
     price, cost = F.col("unit_price"), F.col("unit_cost")
     cleaned = (
-        df.withColumns({"unit_cost": money(cost), "unit_price": money(price)})
+        df.withColumns({"unit_cost": amount(cost), "unit_price": amount(price)})
         .withColumn("unit_price", F.coalesce(price, fallback))
         .withColumns(
             {
@@ -100,8 +100,8 @@ def clean_orders(
         {
             "order_date": parse_date(df, "order_date"),
             "shipped_date": parse_date(df, "shipped_date"),
-            "order_total": F.coalesce(money(F.col("order_total")), F.lit(0).cast(MONEY)),
-            "order_profit": F.coalesce(money(F.col("order_profit")), F.lit(0).cast(MONEY)),
+            "order_total": F.coalesce(amount(F.col("order_total")), F.lit(0).cast(AMOUNT)),
+            "order_profit": F.coalesce(amount(F.col("order_profit")), F.lit(0).cast(AMOUNT)),
             "num_items": F.coalesce(coerce_int(F.col("num_items")), F.lit(1)),
             "status": accepted_or_unknown(clean_label(F.col("status")), config.ORDER_STATUSES),
             "channel": clean_label(F.col("channel")),
@@ -128,25 +128,33 @@ def clean_orders(
 
 def clean_order_items(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     amounts = {
-        name: F.coalesce(money(F.col(name)), F.lit(0).cast(MONEY))
+        name: F.coalesce(amount(F.col(name)), F.lit(0).cast(AMOUNT))
         for name in ("unit_price", "discount_pct", "discount_amt", "line_total", "line_profit")
     }
     quantity = F.coalesce(coerce_int(F.col("quantity")), F.lit(0))
     cleaned = df.withColumns({**amounts, "quantity": F.greatest(quantity, F.lit(1))}).withColumns(
         {
-            "line_total": F.greatest(F.col("line_total"), F.lit(0).cast(MONEY)),
+            "line_total": F.greatest(F.col("line_total"), F.lit(0).cast(AMOUNT)),
             "effective_unit_price": F.col("unit_price") - F.col("discount_amt"),
         }
     )
     return keep_first(cleaned, "item_id", order_by or _source_order(df, "item_id"))
 
 
+CAMPAIGN_FIGURES = (
+    "start_date", "end_date", "budget", "spend", "revenue_generated", "impressions", "clicks", "conversions",
+    "ctr", "conversion_rate", "roi",
+)
+
+
 def clean_campaigns(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    """Figures that the source does not have at all, which the column contract reports, count as missing."""
+    df = df.withColumns({c: F.lit(None).cast("string") for c in CAMPAIGN_FIGURES if c not in df.columns})
     amounts = {
-        name: F.coalesce(money(F.col(name)), F.lit(0).cast(MONEY)) for name in ("budget", "spend", "revenue_generated")
+        name: F.coalesce(amount(F.col(name)), F.lit(0).cast(AMOUNT)) for name in ("budget", "spend", "revenue_generated")
     }
     counts = {
-        name: F.coalesce(F.col(name).try_cast("bigint"), F.lit(0).cast("bigint"))
+        name: F.coalesce(coerce_count(F.col(name)), F.lit(0).cast("bigint"))
         for name in ("impressions", "clicks", "conversions")
     }
     rates = {

@@ -48,7 +48,8 @@ def with_measures(lines: DataFrame) -> DataFrame:
     zero = F.lit(0).cast(MONEY)
 
     def amount(name: str) -> Column:
-        return F.coalesce(F.col(name), zero)
+        # Rounded here for the first time; an amount beyond the type stops the run.
+        return F.coalesce(F.round(F.col(name), 2).cast(MONEY), zero)
 
     revenue, profit = F.col("line_revenue"), F.col("line_profit")
     sold = F.coalesce(F.col("is_revenue"), F.lit(0)) == 1
@@ -62,8 +63,7 @@ def with_measures(lines: DataFrame) -> DataFrame:
                 "discount_pct": amount("discount_pct"),
                 "discount_amt": amount("discount_amt"),
                 "is_revenue": flag(sold),
-                # Rounded here for the first time; an amount beyond the type stops the run.
-                "line_revenue": F.when(sold, F.round(amount("line_total"), 2).cast(MONEY)).otherwise(zero),
+                "line_revenue": F.when(sold, amount("line_total")).otherwise(zero),
             }
         )
         .withColumn(

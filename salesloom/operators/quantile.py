@@ -21,9 +21,9 @@ def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 100_000
         F.count("v").alias("n"),
         F.percentile_approx("v", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy).alias("bounds"),
     )
-    low = sketch.select(F.col("bounds")[0]).scalar()
-    high = sketch.select(F.col("bounds")[1]).scalar()
-    total = sketch.select("n").scalar()
+    # One subquery for all three: the values are read once here and once for the histogram.
+    known = sketch.select(F.struct(F.col("bounds")[0].alias("low"), F.col("bounds")[1].alias("high"), "n")).scalar()
+    low, high, total = known["low"], known["high"], known["n"]
 
     v = F.col("v")
     side = F.when(v < low, -1).when(v <= high, 0).otherwise(1)

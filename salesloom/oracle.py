@@ -683,6 +683,7 @@ FINAL = {
         for c, t, v in (
             ("status", "clean_orders", "'Completed', 'Returned', 'Cancelled', 'Pending'"),
             ("segment", "dim_customer", "'Enterprise', 'Smb', 'Startup', 'Consumer'"),
+            ("region", "dim_customer", "'North', 'South', 'East', 'West', 'Central'"),
             ("channel", "clean_orders", "'Online', 'Sales Rep', 'Partner', 'Direct'"),
             ("ltv_tier", "customer_ltv", "'Platinum', 'Gold', 'Silver', 'Bronze'"),
         )
@@ -733,6 +734,27 @@ FINAL = {
     # reading and writing
     "csv_roundtrip": f"SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id) FROM (SELECT {_CUSTOMER} FROM customers)",
     "json_records_roundtrip": _CAMPAIGNS,
+    "json_array_roundtrip": _CAMPAIGNS,
+    "campaigns_from_text": (
+        "SELECT campaign_id, impressions, clicks, conversions, (spend + 0.004)::DOUBLE AS spend, "
+        "(CASE WHEN campaign_id % 7 = 0 THEN 12345678901234567890.5 WHEN campaign_id % 11 <> 0 THEN 7.125 ELSE 0 END)::DOUBLE AS budget, "
+        f"({_div('CAST((spend + 0.004) * 1000 AS BIGINT)', 'clicks * 1000', 2)})::DOUBLE AS cost_per_click FROM campaigns"
+    ),
+    "extract_report": (
+        "SELECT 'customers' AS source, 'read' AS status, 'missing columns: email' AS missing, COUNT(*) AS rows FROM raw_customers "
+        "UNION ALL SELECT s, 'failed', '', NULL FROM (VALUES ('products'), ('orders'), ('order_items'), ('campaigns')) AS v(s)"
+    ),
+    "json_contract": (
+        "SELECT 'campaigns' AS source, c AS \"column\", s AS status FROM (VALUES ('campaign_id', 'present'), ('name', 'present'), "
+        "('type', 'present'), ('start_date', 'present'), ('end_date', 'present'), ('spend', 'missing'), ('impressions', 'present'), "
+        "('extra_col', 'additional')) AS v(c, s) WHERE EXISTS (SELECT 1 FROM raw_campaigns)"
+    ),
+    "tables_present": (
+        "SELECT name, name <> 'vw_unknown' AS present, CASE WHEN name <> 'vw_unknown' THEN CAST(0 AS BIGINT) END AS missing_columns "
+        "FROM (SELECT 'vw_' || unnest(['monthly_revenue', 'revenue_by_region', 'revenue_by_segment', 'top_products', "
+        "'category_performance', 'campaign_roi', 'customer_ltv', 'cohort_monthly', 'channel_performance', 'yoy_comparison', "
+        "'unknown']) AS name)"
+    ),
     "json_records": f"SELECT * REPLACE ({_doubles('total_revenue', 'total_profit', 'avg_margin_pct', 'avg_order_value')}) FROM channel_performance",
     "staging_load_counts": _count_rows("table", STAGED),
     "mart_csv_export": _count_rows(
@@ -758,6 +780,18 @@ FINAL = {
     ),
 }
 
+FINAL["pipeline_reports"] = " UNION ALL ".join(
+    f"SELECT '{report}' AS report, CAST({label} AS VARCHAR) AS label, CAST({value} AS DOUBLE) AS value FROM ({sql})"
+    for report, label, value, sql in (
+        ("report_by_region", "region", "revenue", FINAL["report_by_region"]),
+        ("report_by_year", "year", "revenue", FINAL["report_by_year"]),
+        ("report_ltv_tiers", "ltv_tier", "customers", FINAL["report_ltv_tiers"]),
+        ("rejects", "reason", "rows", FINAL["reject_summary"]),
+        ("staging_counts", '"table"', "rows", FINAL["staging_load_counts"]),
+        ("warehouse", '"table"', "rows", FINAL["warehouse_counts"]),
+    )
+)
+
 
 # Dates leave the queries as text.
 DATES = {
@@ -767,6 +801,7 @@ DATES = {
     "clean_orders": ("order_date", "shipped_date"),
     "clean_campaigns": ("start_date", "end_date"),
     "json_records_roundtrip": ("start_date", "end_date"),
+    "json_array_roundtrip": ("start_date", "end_date"),
     "high_value_orders": ("order_date",),
     "dim_date": ("full_date",),
     "dim_customer": ("joined_date",),

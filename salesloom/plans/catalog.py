@@ -25,6 +25,13 @@ from salesloom.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Columns that readers of a mart rely on.
+MART_COLUMNS = {
+    "monthly_revenue": ("year", "month", "total_revenue", "total_orders"),
+    "top_products": ("product_name", "total_revenue", "total_units_sold"),
+    "customer_ltv": ("customer_id", "ltv_tier", "total_revenue"),
+}
+
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 _MARTS: dict[tuple[str, str], Marts] = {}
 
@@ -228,6 +235,7 @@ def _accepted_values(m: Marts) -> DataFrame:
         [
             quality.unexpected_values(orders, "status", config.ORDER_STATUSES),
             quality.unexpected_values(customers, "segment", config.SEGMENTS),
+            quality.unexpected_values(customers, "region", config.REGIONS),
             quality.unexpected_values(orders, "channel", config.CHANNELS),
             quality.unexpected_values(m["customer_ltv"], "ltv_tier", config.LTV_TIER_NAMES),
         ]
@@ -355,12 +363,98 @@ def json_records_roundtrip(spark: SparkSession, sf_dir: str, records_per_file: i
         F.to_json(F.struct(F.collect_list(F.struct(*raw.columns)).alias("records"))).alias("value")
     )
     chunks.select("value").write.option("maxRecordsPerFile", 1).text(folder)
-    typed = clean.clean_campaigns(files.read_json(spark, folder, "campaign_id bigint, " + _campaign_fields()))
-    return result(typed)
+    return result(_campaigns_of(files.read_json(spark, folder)))
+
+
+def _campaigns_of(read: DataFrame) -> DataFrame:
+    return clean.clean_campaigns(read.withColumn("campaign_id", F.col("campaign_id").cast("bigint")))
+
+
+def json_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw campaigns in a folder of arrays and of wrapped records, read back and cleaned."""
+    folder = fresh_folder(spark, "json")
+    raw = publish(testbed.raw_source(spark, sf_dir, "campaigns"))
+    place = F.monotonically_increasing_id()
+    chunks = raw.withColumn("_chunk", F.floor(place / 50)).groupBy("_chunk").agg(
+        F.to_json(F.collect_list(F.struct(*raw.columns))).alias("records")
+    )
+    wrapped = F.when(F.col("_chunk") % 2 == 1, F.concat(F.lit('{"records": '), "records", F.lit("}")))
+    documents = chunks.select(F.coalesce(wrapped, "records").alias("value"))
+    documents.write.option("maxRecordsPerFile", 1).text(folder)
+    return result(_campaigns_of(files.read_json(spark, folder)))
+
+
+def campaigns_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts written as 12.0, amounts of three decimals and of twenty digits, all of them text."""
+    raw = testbed.raw_source(spark, sf_dir, "campaigns")
+    long = F.when(F.col("campaign_id") % 7 == 0, F.lit("12345678901234567890.5"))
+    text = raw.withColumns(
+        {
+            **{c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("impressions", "clicks", "conversions")},
+            "spend": F.concat(F.col("spend").cast("string"), F.lit("4")),
+            "budget": F.coalesce(long, F.when(F.col("campaign_id") % 11 != 0, F.lit("7.125")), F.lit("none")),
+        }
+    )
+    columns = ["campaign_id", "impressions", "clicks", "conversions", "spend", "budget", "cost_per_click"]
+    return result(clean.clean_campaigns(text).select(*columns))
+
+
+def extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources in a folder: one good, one with a broken document after a good one, three that are not there."""
+    folder = fresh_folder(spark, "raw")
+    sinks.write_csv(testbed.raw_source(spark, sf_dir, "customers").drop("email"), f"{folder}/customers.csv")
+    campaigns = testbed.raw_source(spark, sf_dir, "campaigns")
+    good = F.concat(F.lit("["), F.to_json(F.struct(*publish(campaigns).columns)), F.lit("]"))
+    documents = publish(campaigns).select(F.when(F.col("campaign_id") == 2, F.lit('[{"name": ')).otherwise(good).alias("value"))
+    documents.write.option("maxRecordsPerFile", 1).text(f"{folder}/campaigns.json")
+    found, report = files.extract_all(spark, folder)
+    rows = sinks.row_counts(found).withColumnRenamed("table", "source")
+    missing = F.when(F.col("status") == "read", F.col("detail")).otherwise("").alias("missing")
+    return report.join(rows, "source", "left").select("source", "status", missing, "rows")
+
+
+def json_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract of a JSON source that lacks one column and has another: both come from the data."""
+    folder = fresh_folder(spark, "json")
+    raw = publish(testbed.raw_source(spark, sf_dir, "campaigns")).withColumnRenamed("spend", "extra_col")
+    record = F.to_json(F.struct("campaign_id", "name", "type", "start_date", "end_date", "impressions", "extra_col"))
+    raw.select(F.concat(F.lit("["), record, F.lit("]")).alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return contracts.column_contract(spark, {"campaigns": files.read_json(spark, folder)})
+
+
+def pipeline_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch job on raw files written from the tables: revenue by region and year, rejects."""
+    folder, out = fresh_folder(spark, "raw"), fresh_folder(spark, "run")
+    for source in contracts.STAGING_TABLES:
+        raw = testbed.raw_source(spark, sf_dir, source)
+        if source == "campaigns":
+            record = F.to_json(F.struct(*publish(raw).columns))
+            lines = publish(raw).select(F.concat(F.lit("["), record, F.lit("]")).alias("value"))
+            lines.write.option("maxRecordsPerFile", 1).text(f"{folder}/campaigns.json")
+        else:
+            # Of lines with one id the binding's first is written: text columns would sort otherwise.
+            raw = warehouse(spark, sf_dir).staged(source) if source == "order_items" else raw
+            sinks.write_csv(raw, f"{folder}/{source}.csv")
+    run = pipeline.run_pipeline(spark, folder, out, testbed.SETTINGS, csv_copies=False)
+    shape = lambda name, label, value: run.reports[name].select(
+        F.lit(name).alias("report"), F.col(label).cast("string").alias("label"), F.col(value).cast("double").alias("value")
+    )
+    parts = [
+        shape("report_by_region", "region", "revenue"), shape("report_by_year", "year", "revenue"),
+        shape("report_ltv_tiers", "ltv_tier", "customers"), shape("rejects", "reason", "rows"),
+        shape("staging_counts", "table", "rows"), shape("warehouse", "table", "rows"),
+    ]
+    return _union(parts)
 
 
-def _campaign_fields() -> str:
-    return contracts.CAMPAIGN_SCHEMA.removeprefix("campaign_id string, ")
+def tables_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views of the marts and the columns that readers of the marts rely on."""
+    marts = written_marts(spark, sf_dir)
+    names = pipeline.register_views(marts)
+    found = quality.tables_present(spark, [*names, "vw_unknown"])
+    lacking = [(f"vw_{name}", len(quality.missing_columns(df, MART_COLUMNS.get(name, ())))) for name, df in marts.items()]
+    lacks = spark.createDataFrame(lacking, "name string, missing_columns bigint")
+    return found.join(lacks, "name", "left")
 
 
 def staging_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +507,12 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 READING_WRITING: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "json_records_roundtrip": json_records_roundtrip,
+    "json_array_roundtrip": json_array_roundtrip,
+    "campaigns_from_text": campaigns_from_text,
+    "extract_report": extract_report,
+    "json_contract": json_contract,
+    "pipeline_reports": pipeline_reports,
+    "tables_present": tables_present,
     "staging_load_counts": staging_load_counts,
     "mart_csv_export": mart_csv_export,
     "column_contract": column_contract,

@@ -26,12 +26,6 @@ STAGING_TABLES = {
     "order_items": "stg_order_items",
     "campaigns": "stg_campaigns",
 }
-CAMPAIGN_SCHEMA = (
-    "campaign_id string, name string, type string, goal string, start_date string, end_date string, "
-    "budget double, spend double, impressions bigint, clicks bigint, conversions bigint, "
-    "revenue_generated double, ctr double, conversion_rate double, roi double, status string"
-)
-
 CONTRACT_SCHEMA = "source string, column string, status string"
 
 

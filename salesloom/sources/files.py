@@ -6,7 +6,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesloom.sources.contracts import CAMPAIGN_SCHEMA, REQUIRED_COLUMNS, SOURCE_FILES
+from salesloom.sources.contracts import REQUIRED_COLUMNS, SOURCE_FILES
 
 # The texts a CSV reader takes for a missing value.
 MISSING_TOKENS = (
@@ -21,31 +21,39 @@ class SourceError(ValueError):
     """A source that exists but cannot be read as what it should be."""
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All columns as text, named by the header; cleaning coerces the types.
 
     Inferring types would read everything once more, and a bad value would change a column's
-    type. `multi_line` admits line breaks inside quotes, at the price of unsplittable files.
+    type. Line breaks inside quotes are part of a value; `multi_line=False` gives that up for files
+    that can be split, for sources known to have none. A folder whose files do not all have the
+    same header is refused when it is read.
     """
-    raw = spark.read.options(header=True, multiLine=multi_line, escape='"').csv(path)
+    raw = spark.read.options(header=True, multiLine=multi_line, escape='"', enforceSchema=False).csv(path)
     return raw.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING_TOKENS), F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
-def read_json(spark: SparkSession, path: str, schema: str = CAMPAIGN_SCHEMA) -> DataFrame:
-    """A top-level array of records, or an object with the array under `records`.
+def read_json(spark: SparkSession, path: str) -> DataFrame:
+    """Top-level arrays of records, or objects with the array under `records`; a folder may hold both.
 
-    One such document cannot be split, so large exports should come as many files.
+    The columns are those of the data, all as text but for nested ones: a number may be written as
+    2 or 2.0, and cleaning coerces either. One such document cannot be split, so large exports
+    should come as many files.
     """
-    first = spark.read.text(path).filter("trim(value) <> ''").select(F.substring(F.ltrim("value"), 1, 1)).first()
-    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
-    if first and first[0] == "[":
-        return reader.schema(schema).json(path)
-    if first and first[0] == "{":
-        wrapped = reader.schema(f"records array<struct<{schema}>>").json(path)
-        if not wrapped.filter("records IS NULL").isEmpty():
-            raise SourceError(f"no `records` array in {path}")
-        return wrapped.selectExpr("inline(records)")
-    raise SourceError(f"neither a JSON array nor an object: {path}")
+    documents = spark.read.text(path, wholetext=True).filter("trim(value) <> ''")
+    first = F.regexp_extract("value", r"^\s*(\S)", 1)
+    objects, others = documents.agg(F.count_if(first == "{"), F.count_if(~first.isin("{", "["))).first()
+    if others or documents.isEmpty():
+        raise SourceError(f"neither a JSON array nor an object: {path}")
+    read = spark.read.options(multiLine=True, mode="FAILFAST", primitivesAsString=True).json(path)
+    if not objects:
+        return read
+    kind = dict(read.dtypes).get("records", "")
+    if not kind.startswith("array<struct<") or read.filter("records IS NOT NULL").count() != objects:
+        raise SourceError(f"no `records` array in {path}")
+    wrapped = read.filter("records IS NOT NULL").selectExpr("inline(records)")
+    own = read.filter("records IS NULL").drop("records")
+    return own.unionByName(wrapped, allowMissingColumns=True) if own.columns else wrapped
 
 
 def _reason(error: Exception) -> str:
@@ -54,14 +62,18 @@ def _reason(error: Exception) -> str:
 
 
 def extract_all(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """All readable sources, and a report with one row per source; broken ones are left out."""
+    """All readable sources, and a report with one row per source; broken ones are left out.
+
+    A source counts as read once all of it has been parsed: a broken file in the middle of a folder
+    is found here, and not in the step that would use it.
+    """
     found: dict[str, DataFrame] = {}
     report = []
     for source, (filename, kind) in SOURCE_FILES.items():
         path = f"{folder.rstrip('/')}/{filename}"
         try:
             df = read_csv(spark, path) if kind == "csv" else read_json(spark, path)
-            df.first()
+            df.write.format("noop").mode("overwrite").save()
         except (PySparkException, Py4JJavaError, SourceError) as error:
             report.append((source, path, "failed", _reason(error)))
             continue

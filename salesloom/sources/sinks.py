@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from salesloom.functions.numeric import publish
 from salesloom.sources.contracts import STAGING_TABLES
@@ -89,7 +89,3 @@ def write_target(df: DataFrame, target: str, table: str, **properties: str) -> N
         write_relational(df, target, table, **properties)
     else:
         Store(df.sparkSession, target).save(df, table)
-
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)

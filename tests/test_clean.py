@@ -1,10 +1,12 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from salesloom.config import Settings
+from salesloom.functions.dates import parse_date
 from salesloom.operators import clean
 from salesloom.operators.dedup import keep_first, removed_duplicates
 
@@ -131,6 +133,26 @@ def test_campaigns(spark):
     assert (two.duration_days, two.budget, two.cost_per_click, two.roas, two.ctr) == (None, Decimal("0.00"), None, None, None)
 
 
+def test_text_figures_lose_nothing(spark):
+    df = spark.createDataFrame(
+        [("K1", "1000.0", "12.0", "3.0", "10000", "99999999999999999.9"), ("K2", "x", None, "-1.7", "0.004", "nan")],
+        "campaign_id string, impressions string, clicks string, conversions string, spend string, budget string",
+    )
+    one, two = sorted(clean.clean_campaigns(df).collect(), key=lambda r: r.campaign_id)
+    assert (one.impressions, one.clicks, one.conversions, one.cost_per_click) == (1000, 12, 3, Decimal("833.33"))
+    assert (one.budget, two.spend, two.budget) == (Decimal("99999999999999999.9"), Decimal("0.004"), 0)
+    assert (two.impressions, two.clicks, two.conversions) == (0, 0, -1)
+    products = spark.createDataFrame([("P1", "1000.004", "1", "1", "c")], "product_id string, unit_price string, unit_cost string, is_active string, category string")
+    assert clean.clean_products(products).first().price_band == "Mid-Range"
+    with pytest.raises(Exception):
+        clean.clean_products(products.withColumn("unit_price", F.lit("1e30"))).collect()
+
+
+def test_dates_with_a_time_of_day(spark):
+    df = spark.createDataFrame([("2024-01-05 10:30:00",), ("2024-01-05T10:30:00",), ("2024-01-05",), ("2024-01-05 x",), ("20240105",)], "d string")
+    assert [str(r[0]) for r in df.select(parse_date(df, "d")).collect()] == ["2024-01-05"] * 3 + ["None"] * 2
+
+
 def test_campaign_rates_are_zero_without_a_base(spark):
     df = spark.sql(
         "SELECT * FROM VALUES (1000L, 50L, 5L, 150.00BD, 100.00BD), (0L, 0L, 0L, 0.00BD, 0.00BD) "

@@ -10,7 +10,7 @@ from salesloom.plans import pipeline
 from salesloom.plans.marts import MART_NAMES, Marts
 from salesloom.session import fresh_folder, shared_root
 
-SETTINGS = Settings(as_of=date(2024, 12, 31), attribution_percent=100)
+SETTINGS = Settings(as_of=date(2024, 12, 31))
 
 
 @pytest.fixture
@@ -36,11 +36,11 @@ def raw_folder(folder):
         "ORD0000004,CUST00001,bad-date,,INVALID_STATUS,Direct,Cash,1,1,1\n"
     )
     (raw / "order_items.csv").write_text(
-        "item_id,order_id,product_id,quantity,unit_price,discount_pct,discount_amt,line_total,line_profit\n"
-        "ITEM1,ORD0000001,PROD0001,2,55000,0,0,110000,50000\n"
-        "ITEM2,ORD0000002,PROD0002,1,99,0,0,99,49\n"
-        "ITEM3,ORD0000003,PROD0002,2,99,0,0,198,98\n"
-        "ITEM4,ORD0000004,PROD0002,1,99,0,0,99,49\n"
+        "item_id,order_id,product_id,quantity,unit_price,discount_pct,discount_amt,line_total,line_profit,campaign_ref\n"
+        "ITEM1,ORD0000001,PROD0001,2,55000,0,0,110000,50000,CAMP0001\n"
+        "ITEM2,ORD0000002,PROD0002,1,99,0,0,99,49,\n"
+        "ITEM3,ORD0000003,PROD0002,2,99,0,0,198,98,CAMP0001\n"
+        "ITEM4,ORD0000004,PROD0002,1,99,0,0,99,49,\n"
     )
     campaign = {
         "campaign_id": "CAMP0001", "name": "Email Campaign 01", "type": "Email", "goal": "Awareness", "start_date": "2022-01-01",
@@ -60,9 +60,13 @@ def test_whole_run(spark, folder, raw_folder):
     tables = {r.table: (r.kind, r.rows) for r in run.reports["warehouse"].collect()}
     # The line of the order without a date has no place in the fact.
     assert tables == {
-        "dim_date": ("DIM", 1096), "dim_customer": ("DIM", 2), "dim_product": ("DIM", 2), "dim_campaign": ("DIM", 1),
-        "fact_sales": ("FACT", 3), "TOTAL": ("TOTAL", 1104),
+        "dim_date": ("DIM", 730), "dim_customer": ("DIM", 2), "dim_product": ("DIM", 2), "dim_campaign": ("DIM", 1),
+        "fact_sales": ("FACT", 3), "TOTAL": ("TOTAL", 738),
     }
+    assert {r.reason: r.rows for r in run.reports["rejects"].collect()} == {
+        "missing_order": 0, "missing_date": 1, "missing_customer": 0, "missing_product": 0,
+    }
+    assert rows(spark.read.parquet(f"{folder}/out/fact_rejects").select("item_id")) == [("ITEM4",)]
     top = run.reports["report_topline"].first()
     assert (top.total_orders, top.unique_customers, float(top.total_revenue), float(top.total_profit)) == (2, 2, 110198, 50098)
     assert rows(spark.sql("SELECT year, total_revenue FROM vw_monthly_revenue ORDER BY year")) == [(2022, 110000.0), (2023, 198.0)]
@@ -71,7 +75,16 @@ def test_whole_run(spark, folder, raw_folder):
     ]
     assert set(run.exports) == set(MART_NAMES)
     header = next(Path(run.exports["yoy_comparison"]).glob("*.csv")).read_text().splitlines()[0]
-    assert header == "month,month_name,revenue_2022,revenue_2023,revenue_2024,growth_22_23_pct,growth_23_24_pct"
+    assert header == "month,month_name,revenue_2021,revenue_2022,revenue_2023,growth_21_22_pct,growth_22_23_pct"
+
+
+def test_orders_of_any_year_are_sold(spark, folder, raw_folder):
+    """The calendar follows the orders: one of 2026 is in the fact and in the marts."""
+    path = Path(raw_folder) / "orders.csv"
+    path.write_text(path.read_text().replace("2023-03-07", "2026-03-07 18:30:00"))
+    run = pipeline.run_pipeline(spark, raw_folder, f"{folder}/out", SETTINGS, csv_copies=False)
+    assert {r.year: float(r.revenue) for r in run.reports["report_by_year"].collect()} == {2022: 110000, 2026: 198}
+    assert spark.read.parquet(f"{folder}/out/fact_sales").filter("date_key = 20260307").count() == 1
 
 
 def test_phases_run_one_after_the_other(spark, folder, raw_folder):

@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 from conftest import rows
 
+from salesloom.operators import quality
 from salesloom.sources import files, sinks
 from salesloom.sources.contracts import SOURCE_FILES, column_contract
 from salesloom.sources.files import SourceError
@@ -29,7 +30,38 @@ def test_csv_is_text_named_by_its_header(spark, folder):
 
 def test_csv_line_breaks_inside_quotes(spark, folder):
     path = write(folder, "a.csv", 'a,b\n"x\ny",1\n')
-    assert rows(files.read_csv(spark, path, multi_line=True)) == [("x\ny", "1")]
+    assert rows(files.read_csv(spark, path)) == [("x\ny", "1")]
+
+
+def test_csv_files_with_other_columns_are_refused(spark, folder):
+    raw = Path(folder) / "c.csv"
+    raw.mkdir()
+    write(raw, "1.csv", "customer_id,name\nC1,Ann\n")
+    write(raw, "2.csv", "name,customer_id\nBob,C2\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, str(raw)).collect()
+
+
+def test_json_folder_of_both_shapes_keeps_every_record(spark, folder):
+    raw = Path(folder) / "c.json"
+    raw.mkdir()
+    write(raw, "1.json", json.dumps([{**CAMPAIGN, "clicks": 2.0, "extra": "x"}] * 3))
+    write(raw, "2.json", json.dumps({"records": [CAMPAIGN, CAMPAIGN]}))
+    df = files.read_json(spark, str(raw))
+    assert df.count() == 5 and df.filter("campaign_id = 'K1'").count() == 5
+    assert rows(df.select("clicks", "extra").distinct().orderBy("clicks")) == [(None, None), ("2.0", "x")]
+    write(raw, "3.json", '{"rows": []}')
+    with pytest.raises(SourceError):
+        files.read_json(spark, str(raw))
+
+
+def test_a_broken_later_file_is_reported(spark, folder):
+    raw = Path(folder) / "campaigns.json"
+    raw.mkdir()
+    write(raw, "1.json", json.dumps([CAMPAIGN]))
+    write(raw, "2.json", '[{"campaign_id": ')
+    found, report = files.extract_all(spark, folder)
+    assert not found and {r.status for r in report.collect()} == {"failed"}
 
 
 @pytest.mark.parametrize("indent", [None, 2])
@@ -39,7 +71,7 @@ def test_json_array_and_wrapped_records(spark, folder, wrapped, indent):
     data = {"records": records} if wrapped else records
     df = files.read_json(spark, write(folder, "c.json", json.dumps(data, indent=indent)))
     assert sorted(rows(df.select("campaign_id", "goal", "spend", "impressions"))) == [
-        ("K1", None, 10.5, 7), ("K2", "Awareness", 10.5, 7),
+        ("K1", None, "10.5", "7"), ("K2", "Awareness", "10.5", "7"),
     ]
 
 
@@ -122,7 +154,7 @@ def test_target_is_chosen_by_its_address(spark, folder, monkeypatch):
 
 def test_table_existence(spark, store):
     spark.range(1).createOrReplaceTempView("known_view")
-    assert sinks.table_exists(spark, "known_view") and not sinks.table_exists(spark, "unknown_view")
+    assert rows(quality.tables_present(spark, ["known_view", "unknown_view"])) == [("known_view", True), ("unknown_view", False)]
     assert not store.exists("t")
     store.save(spark.range(1).toDF("id"), "t")
     assert store.exists("t")

@@ -94,7 +94,7 @@ def star(spark, store):
 
 
 def test_fact_measures(star):
-    got = {r.item_id: r for r in fact.build_fact(**star, percent_attributed=0).collect()}
+    got = {r.item_id: r for r in fact.build_fact(**star).collect()}
     assert sorted(got) == ["I1", "I2", "I3", "I8"]
     one = got["I1"]
     assert (one.date_key, one.customer_key, one.product_key, one.campaign_key) == (20230102, 2, 1, None)
@@ -118,28 +118,29 @@ def test_rejects_and_fact_share_out_all_lines(star):
     assert sorted(list(got) + [r[0] for r in rows(built.select("item_id"))]) == [f"I{i}" for i in range(1, 10)]
 
 
-def test_attribution_is_deterministic_and_only_for_completed_lines(star):
-    first = sorted(rows(fact.build_fact(**star, percent_attributed=100).select("item_id", "campaign_key")))
-    again = sorted(rows(fact.build_fact(**{**star, "items": star["items"].repartition(7)}, percent_attributed=100)
-                        .select("item_id", "campaign_key")))
-    assert first == again
-    assert {i for i, k in first if k is not None} == {"I1", "I2", "I8"}
-    assert all(1 <= k <= 3 for _, k in first if k is not None)
+def test_reject_summary_has_every_reason(spark, star):
+    lines = {k: v for k, v in star.items() if k != "dim_campaign"}
+    rejects = fact.fact_rejects(**lines)
+    assert dict(rows(fact.reject_summary(rejects))) == {
+        "missing_order": 2, "missing_date": 1, "missing_customer": 1, "missing_product": 1,
+    }
+    assert dict(rows(fact.reject_summary(rejects.limit(0)))) == dict.fromkeys(fact.REJECT_REASONS, 0)
+
 
+def test_completed_lines_get_the_campaign_they_name(star):
+    named = star["items"].withColumn("campaign_ref", F.when(F.col("item_id") == "I2", "K9").when(F.col("item_id") != "I8", "K1"))
+    got = dict(rows(fact.build_fact(**{**star, "items": named}).select("item_id", "campaign_key")))
+    # I2 names one that does not exist, I3 is cancelled, I8 names none.
+    assert got == {"I1": 2, "I2": None, "I3": None, "I8": None}
 
-def test_attribution_rate(spark, star):
-    lines = spark.range(20_000).selectExpr("CONCAT('L', id) AS item_id", "'Completed' AS status")
-    item = F.col("item_id")
-    got = fact.attribute_campaign(lines, star["dim_campaign"], fact.hashed_bucket(item), fact.hashed_choice(item), 40)
-    counts = dict(rows(got.groupBy("campaign_key").count()))
-    assert 0.58 < counts.pop(None) / 20_000 < 0.62
-    assert sorted(counts) == [1, 2, 3] and max(counts.values()) < 1.1 * min(counts.values())
 
+def test_settings_from_the_command_line():
+    from salesloom.__main__ import parse
 
-def test_no_campaigns_no_attribution(spark, star, store):
-    none = dims.campaign_dimension(spark.createDataFrame([], "campaign_id string"), store)
-    got = fact.build_fact(**{**star, "dim_campaign": none}, percent_attributed=100)
-    assert got.filter("campaign_key IS NOT NULL").isEmpty()
+    given, settings = parse(["raw", "out", "etl", "--calendar-start", "2022-01-01", "--calendar-end", "2022-12-31", "--yoy-years", "2020,2021,2022"])
+    assert (given.raw, given.out, given.phase) == ("raw", "out", "etl")
+    assert settings == Settings(date(2022, 1, 1), date(2022, 12, 31), yoy_years=(2020, 2021, 2022))
+    assert parse(["raw", "out"])[1] == Settings()
 
 
 def test_summary_and_order_grain(star):
