@@ -225,7 +225,8 @@ def near_duplicates(docs: DataFrame, like: Likeness | None = None, id_column: st
     sizes = grouped.groupBy("component").agg(F.ceil(F.count("*") / like.block).cast("int").alias("blocks"))
     members = grouped.join(sizes, "component").select(F.col("node").alias("id"), "component", "blocks")
     sets = (
-        source.join(members, "id")
+        # Dealt out by id at every size: whether the members could be broadcast says nothing about a larger corpus.
+        source.join(members.hint("shuffle_hash"), "id")
         .dropDuplicates(["id"])
         .mapInArrow(_full_sets(like.words), "id bigint, component bigint, blocks int, shingles binary")
     )
@@ -252,4 +253,4 @@ def near_duplicates(docs: DataFrame, like: Likeness | None = None, id_column: st
 def without_near_duplicates(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
     """One document of each group, the one with the smallest id; documents without words or id stay."""
     dropped = near_duplicates(docs, like).filter("NOT kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
