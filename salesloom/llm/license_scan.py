@@ -62,7 +62,10 @@ def _words(text: str) -> list[str]:
     return "".join(c if c.isascii() and c.isalnum() or not c.isascii() else " " for c in text.lower()).split()
 
 
-def template_table(spark: SparkSession, phrases=None, notices=None) -> DataFrame:
+TEMPLATE_COLUMNS = ["label", "exact", "words", "votes", "t_place", "t_pair"]
+
+
+def template_rows(phrases=None, notices=None) -> list[tuple]:
     """Bigrams of all templates with their places; a phrase is exact, a notice needs coverage only."""
     rows = []
     for exact, texts in ((True, phrases or BASE_PHRASES), (False, {v: k for k, v in (notices or TEMPLATES).items()})):
@@ -71,8 +74,12 @@ def template_table(spark: SparkSession, phrases=None, notices=None) -> DataFrame
             pairs = [(i, a, b) for i, (a, b) in enumerate(zip(words, words[1:], strict=False))]
             voting = [x for x in pairs if exact or not {x[1], x[2]} <= FUNCTION_WORDS]
             rows += [(label, exact, len(words), len(voting), i, f"{a} {b}") for i, a, b in voting]
-    names = ["label", "exact", "words", "votes", "t_place", "t_pair"]
-    return parameter_table(spark, rows, names).withColumn("t_hash", F.xxhash64("t_pair"))
+    return rows
+
+
+def template_table(spark: SparkSession, phrases=None, notices=None) -> DataFrame:
+    rows = template_rows(phrases, notices)
+    return parameter_table(spark, rows, TEMPLATE_COLUMNS).withColumn("t_hash", F.xxhash64("t_pair"))
 
 
 def find_licenses(docs: DataFrame, templates: DataFrame, voting: Voting | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

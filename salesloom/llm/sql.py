@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from salesloom.llm import license_scan
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 URL_FILTER = f"""
@@ -59,4 +61,101 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLE = {"op6_quality_rules": QUALITY_RULES, "op8_url_filter": URL_FILTER}
+
+def _spaced(text: str) -> str:
+    return rf"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+def _letters(text: str) -> str:
+    low = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
+    return rf"list_filter(regexp_split_to_array({low}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+
+def _license_scan(gap: int = 8, coverage: float = 0.7) -> str:
+    values = ", ".join(f"('{a}', {b}, {c}, {d}, {e}, '{f}')" for a, b, c, d, e, f in license_scan.template_rows())
+    return f"""
+WITH t(label, exact, words, votes, t_place, t_pair) AS (VALUES {values}),
+w AS (SELECT doc_id, {_letters('text')} AS ws FROM documents),
+pairs AS (SELECT doc_id, i - 1 AS place, ws[i] || ' ' || ws[i + 1] AS pair FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM w)),
+diagonals AS (
+  SELECT doc_id, label, exact, words, votes, place - t_place AS diagonal, list(DISTINCT t_place) AS matched, min(place) AS low, max(place) AS high
+  FROM pairs JOIN t ON pair = t_pair GROUP BY ALL),
+marked AS (
+  SELECT *, CASE WHEN exact OR coalesce(diagonal - lag(diagonal) OVER along > {gap}, TRUE) THEN 1 ELSE 0 END AS opens FROM diagonals
+  WINDOW along AS (PARTITION BY doc_id, label, exact, words, votes ORDER BY diagonal)),
+numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY doc_id, label, exact, words, votes ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM marked),
+spans AS (
+  SELECT doc_id, label, exact, words, votes, len(list_distinct(flatten(list(matched)))) AS found, min(low) AS start, max(high) + 2 AS stop
+  FROM numbered GROUP BY doc_id, label, exact, words, votes, span),
+verified AS (
+  SELECT *, found / votes AS coverage FROM spans
+  WHERE CASE WHEN exact THEN found = votes ELSE found / votes >= {coverage} AND stop - start <= 2 * words END)
+SELECT w.doc_id, CAST(len(any_value(ws)) AS BIGINT) AS n_words, count(*) FILTER (exact) AS n_base,
+  CAST(min(start) FILTER (exact) AS BIGINT) AS first_word, CAST(max(start) FILTER (exact) AS BIGINT) AS last_word,
+  coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (exact)), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (label IS NOT NULL)), ','), '') AS labels,
+  CAST(coalesce(max(coverage), 0) AS DOUBLE) AS score
+FROM w LEFT JOIN verified v ON w.doc_id = v.doc_id GROUP BY w.doc_id
+"""
+
+
+SUBSTRING_DEDUP = f"""
+WITH w AS (SELECT doc_id, {_spaced("coalesce(text, '')")} AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i+12], ' ') AS key FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY key) < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS place FROM repeated, range(0, 13) AS r(j)),
+places AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS place FROM w),
+kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.place) AS text, count(*) AS n FROM places p
+  ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+NEAR_DEDUP = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_spaced(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i+2], ' ') AS s FROM (
+    SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM w
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a)
+SELECT w.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id, w.doc_id = min(other) AS kept
+FROM w JOIN reached r ON w.doc_id = r.doc_id LEFT JOIN sizes s ON w.doc_id = s.doc_id GROUP BY w.doc_id
+"""
+
+DECONTAMINATION = f"""
+WITH w AS (SELECT doc_id, {_letters('text')} AS ws FROM documents),
+items AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM (SELECT item_id, {_letters('text')} AS ws FROM benchmark) WHERE len(ws) > 0),
+item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i:i+n-1], ' ') AS key FROM (SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM items)),
+lengths AS (SELECT DISTINCT n FROM items),
+windows AS (
+  SELECT doc_id, n, i, array_to_string(ws[i:i+n-1], ' ') AS key FROM (
+    SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, lengths WHERE len(ws) >= n)),
+found AS (SELECT doc_id, i, d.n, item_id FROM windows d JOIN item_windows t ON d.n = t.n AND d.key = t.key),
+hit AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM (SELECT doc_id, i, unnest(range(0, n)) AS j FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS names FROM found GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(names), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit ON w.doc_id = hit.doc_id LEFT JOIN named ON w.doc_id = named.doc_id
+"""
+
+ORACLE = {
+    "op2_license_scan": _license_scan(),
+    "op3_substring_dedup": SUBSTRING_DEDUP,
+    "op4_near_dedup": NEAR_DEDUP,
+    "op6_quality_rules": QUALITY_RULES,
+    "op8_url_filter": URL_FILTER,
+    "op9_decontamination": DECONTAMINATION,
+}
