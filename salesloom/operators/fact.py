@@ -140,6 +140,15 @@ def fact_summary(fact: DataFrame) -> DataFrame:
     ).withColumn("weighted_margin_pct", percent(F.col("total_profit"), F.col("total_revenue"), 1))
 
 
+ORDER_PARTITIONS = ("order_year",)
+
+
+def rebalanced(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Rows of one table partition in few tasks, so that few files are written for it; adaptive
+    execution splits a partition that is too large for one."""
+    return df.hint("rebalance", *columns)
+
+
 def order_sales(fact: DataFrame) -> DataFrame:
     """Revenue lines summed to one row per order.
 
@@ -148,7 +157,7 @@ def order_sales(fact: DataFrame) -> DataFrame:
     """
     return (
         fact.filter("is_revenue = 1")
-        .groupBy("order_id", "customer_key", "date_key", "channel")
+        .groupBy("order_id", "customer_key", "date_key", "channel", "order_year")
         .agg(
             F.count(F.lit(1)).alias("line_items"),
             F.sum("quantity").alias("units"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -36,45 +35,40 @@ def null_report(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def full_row_copies(df: DataFrame) -> tuple[int, int, int]:
-    """Rows, NULL cells and rows that repeat an earlier one.
+def full_row_copies(df: DataFrame) -> DataFrame:
+    """One row: rows, NULL cells, and rows that repeat an earlier one.
 
-    Only a hash per row is shuffled. Equal rows have equal hashes, so where no hash repeats, no
-    row does; otherwise just the rows behind repeated hashes are compared in full, which keeps
-    the count exact whatever the hash does.
+    Only a hash per row is shuffled. Equal rows have equal hashes, so just the rows behind repeated
+    hashes are compared in full, which keeps the count exact whatever the hash does; where no hash
+    repeats, adaptive execution finds that side empty.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
     nulls = reduce(lambda total, c: total + c.isNull().cast("int"), columns, F.lit(0))
     hashed = df.withColumn("_hash", F.xxhash64(*columns))
     per_hash = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("copies"), F.sum(nulls).alias("nulls"))
-    repeated = F.col("copies") > 1
-    rows, cells, suspects = per_hash.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.sum("nulls"), F.lit(0)), F.count_if(repeated)
-    ).first()
-    if suspects == 0:
-        return rows, cells, 0
-    compared = hashed.join(per_hash.filter(repeated).select("_hash"), "_hash", "left_semi").groupBy(*columns)
-    extra = compared.agg((F.count(F.lit(1)) - 1).alias("extra")).agg(F.sum("extra")).first()[0]
-    return rows, cells, extra
-
-
-QUALITY_SCHEMA = "dataset string, rows bigint, null_pct decimal(5,1), duplicates bigint, status string"
+    repeated = per_hash.filter("copies > 1").select("_hash")
+    compared = hashed.join(repeated, "_hash", "left_semi").groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("extra"))
+    extra = compared.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("extra")).scalar()
+    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("copies", "rows"), ("nulls", "nulls"))]
+    return per_hash.agg(*totals).select("rows", "nulls", extra.alias("duplicates"))
 
 
 def quality_report(datasets: dict[str, DataFrame], max_null_percent: float = 5.0) -> DataFrame:
     """Rows, mean share of NULLs, full-row repeats and a verdict per dataset, and a TOTAL row."""
-    report, total = [], 0
-    for name, df in datasets.items():
-        rows, nulls, duplicates = full_row_copies(df)
-        cells = rows * len(df.columns)
-        share = Decimal(100 * nulls) / cells if cells else None
-        passed = (share or 0) < max_null_percent and duplicates == 0
-        rounded = share if share is None else share.quantize(Decimal("0.1"), ROUND_HALF_UP)
-        report.append((name, rows, rounded, duplicates, "PASS" if passed else "CHECK"))
-        total += rows
-    report.append(("TOTAL", total, None, None, None))
-    session = next(iter(datasets.values())).sparkSession
-    return session.createDataFrame(report, QUALITY_SCHEMA)
+    found = _union(
+        [
+            full_row_copies(df).select(F.lit(name).alias("dataset"), F.lit(len(df.columns)).alias("width"), "rows", "nulls", "duplicates")
+            for name, df in datasets.items()
+        ]
+    )
+    cells = (F.col("rows") * F.col("width")).cast("decimal(20,0)")
+    share = F.try_divide(F.col("nulls").cast("decimal(20,0)") * 100, cells)
+    passed = (F.coalesce(share, F.lit(0)) < max_null_percent) & (F.col("duplicates") == 0)
+    judged = found.withColumns({"null_pct": F.round(share, 1).cast("decimal(5,1)"), "status": F.when(passed, "PASS").otherwise("CHECK")})
+    # Rolled up, so that the total does not compute every dataset again.
+    single = lambda c: F.when(F.grouping("dataset") == 0, F.max(c)).alias(c)
+    rolled = judged.rollup("dataset").agg(F.sum("rows").alias("rows"), *[single(c) for c in ("null_pct", "duplicates", "status")])
+    return rolled.withColumn("dataset", F.coalesce("dataset", F.lit("TOTAL")))
 
 
 def date_parse_report(raw: DataFrame, source: str, columns: Sequence[str]) -> DataFrame:
@@ -163,10 +157,11 @@ def identity_breaks(df: DataFrame, left: Column, right: Column, tolerance: int =
     return df.filter(F.abs(F.round(left, 1) - F.round(right, 1)) >= tolerance)
 
 
-def expected_rows(expectations: dict[str, tuple[DataFrame, int]]) -> DataFrame:
+def expected_rows(expectations: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Rows of each table beside the number that another table, of one row and column, says it must have."""
     counts = [
-        df.agg(F.lit(name).alias("check"), F.count(F.lit(1)).alias("rows"), F.lit(n).cast("bigint").alias("expected"))
-        for name, (df, n) in expectations.items()
+        df.agg(F.lit(name).alias("check"), F.count(F.lit(1)).alias("rows")).withColumn("expected", wanted.scalar().cast("bigint"))
+        for name, (df, wanted) in expectations.items()
     ]
     return _union(counts).withColumn("holds", F.col("rows") == F.col("expected"))
 

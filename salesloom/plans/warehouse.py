@@ -111,7 +111,7 @@ class Warehouse:
     def fact_sales(self) -> DataFrame:
         def build() -> DataFrame:
             self.prepare()
-            return fact.build_fact(
+            built = fact.build_fact(
                 self.staged("order_items"),
                 self.staged("orders"),
                 self.dim_date,
@@ -119,6 +119,7 @@ class Warehouse:
                 self.dim_product,
                 self.dim_campaign,
             )
+            return fact.rebalanced(built, fact.FACT_PARTITIONS)
 
         return self._table("fact_sales", build, fact.FACT_PARTITIONS)
 
@@ -135,7 +136,10 @@ class Warehouse:
 
     @property
     def order_sales(self) -> DataFrame:
-        return self._table("agg_order_sales", lambda: fact.order_sales(self.fact_sales))
+        def build() -> DataFrame:
+            return fact.rebalanced(fact.order_sales(self.fact_sales), fact.ORDER_PARTITIONS)
+
+        return self._table("agg_order_sales", build, fact.ORDER_PARTITIONS)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in TABLES}

@@ -59,7 +59,8 @@ def test_identity_with_tolerance(spark):
 
 
 def test_expected_rows(spark):
-    got = rows(quality.expected_rows({"three": (spark.range(3), 3), "four": (spark.range(3), 4)}))
+    wanted = {"three": (spark.range(3), spark.sql("SELECT 3")), "four": (spark.range(3), spark.sql("SELECT 4"))}
+    got = rows(quality.expected_rows(wanted))
     assert got == [("three", 3, 3, True), ("four", 3, 4, False)]
 
 
