@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,6 +25,26 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return Store(spark, fresh_folder(spark, label)).save(df, "rows")
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """The same rows, once the executors can import this package: Python functions are sent to them by name.
+
+    The archive is served by the driver as long as the application lives, so it is not deleted.
+    """
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="salesloom-code-")) / "salesloom.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

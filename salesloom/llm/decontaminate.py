@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from salesloom.llm.common import shipped
 from salesloom.llm.words import LETTERS, Words, find_words, slices
 
 SPAN, GRAM = 10, 5
@@ -142,7 +143,7 @@ def find_leaks(
 ) -> DataFrame:
     """One row per document: id, n_words, n_hit, `spans` of hit words and the `items` found, sorted."""
     types = "key bigint, place bigint, gram string, before array<string>, after array<string>"
-    named = benchmark.select(F.col(item_column).cast("string").alias("item"), F.col(text_column).alias("text"))
+    named = shipped(benchmark).select(F.col(item_column).cast("string").alias("item"), F.col(text_column).alias("text"))
     items = named.mapInArrow(_item_grams(span, k), f"item string, {types}, length bigint, need bigint")
     facts = items.select(F.shiftrightunsigned("key", 64 - PRUNING_BITS).alias("bits"), F.when(F.col("need") < span, F.col("need")).alias("short"))
     # At most 2^PRUNING_BITS x span rows, however large the benchmark is.

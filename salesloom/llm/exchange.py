@@ -17,12 +17,14 @@ import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
+from salesloom.llm.common import shipped
+
 BATCH_BYTES, RANGE_BYTES = 4 << 20, 16 << 20
 
 
 def in_batches(docs: DataFrame, text: Column, spread: Column, **columns: Column) -> tuple[DataFrame, int]:
     """The documents with a batch number, dealt out by it, and the number of key ranges to use."""
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    total = shipped(docs).agg(F.sum(F.octet_length(text))).first()[0] or 0
     batches, ranges = (max(1, -(-total // size)) for size in (BATCH_BYTES, RANGE_BYTES))
     batch = F.pmod(F.xxhash64(spread), F.lit(batches)).alias("batch")
     dealt = docs.select(batch, text.alias("text"), *[c.alias(n) for n, c in columns.items()]).repartition("batch")

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from salesloom.llm.common import kept
+from salesloom.llm.common import kept, shipped
 from salesloom.llm.components import connected
 from salesloom.llm.words import SPACED, Words, find_words, mix, slices
 
@@ -211,7 +211,7 @@ def _full_sets(k: int):
 def near_duplicates(docs: DataFrame, like: Likeness | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     like = like or Likeness()
-    source = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
+    source = shipped(docs).select(F.col(id_column).cast("long").alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
     schema = "id bigint, n bigint, digest bigint, digest2 bigint, regions array<bigint>, orders array<bigint>"
     signed = kept(source.mapInArrow(_forest(like), schema), "signed")
     # Documents with equal sets have equal signatures: any of them stands for all.

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from salesloom.llm.common import kept
+from salesloom.llm.common import kept, shipped
 
 CAPACITY, END = 2048, 0
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -230,7 +230,7 @@ def pack_documents(
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     id_type = docs.schema[id_column].dataType.simpleString()
     schema = f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, task int, rank bigint"
-    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    source = shipped(docs).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     pieces = kept(source.mapInArrow(_tokenized(tokenizer, ranks, capacity, end), schema), "pieces")
     by_task = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)

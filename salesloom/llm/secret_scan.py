@@ -22,6 +22,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from salesloom.llm.common import shipped
+
 KINDS = ("assign", "access", "hex", "novel")
 # The patterns of the contract. The two runs are maximal, so a least length in the
 # pattern finds the same spans as a later check of the length would.
@@ -131,7 +133,7 @@ REPORT = (
 def secret_report(docs: DataFrame, novelty: Novelty | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: numbers of spans by kind, all spans as kind:start:end in code points, and a digest of the base ones."""
     novelty = novelty or Novelty()
-    source = docs.select(id_column, text_column)
+    source = shipped(docs).select(id_column, text_column)
     id_type = source.schema[0].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,4 +183,4 @@ def redact_secrets(docs: DataFrame, novelty: Novelty | None = None, mark: str =
                 columns[k] = pa.array(sizes, batch.schema.field(k).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(redact, docs.schema)
+    return shipped(docs).mapInArrow(redact, docs.schema)

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from salesloom.llm.common import shipped
 from salesloom.llm.exchange import in_batches, packed, range_of, unpacked
 from salesloom.llm.words import SPACED, Words, find_words, slices
 
@@ -233,7 +234,7 @@ def remove_reference(docs: DataFrame, reference: DataFrame, length: int = LENGTH
                 yield pa.RecordBatch.from_arrays(columns, names=[id_column, "n_words", "n_removed", "kept_text"])
 
     id_type = docs.schema[id_column].dataType.simpleString()
-    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    source = shipped(docs).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return source.mapInArrow(stream, f"`{id_column}` {id_type}, n_words bigint, n_removed bigint, kept_text string")
 
 
