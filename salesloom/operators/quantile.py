@@ -2,61 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from collections.abc import Sequence
 
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 100_000) -> DataFrame:
-    """One row, one column `quantile`: the linearly interpolated q-quantile of the non-NULL values.
+#: Slices of a bracket; within one, values are ranked by themselves.
+SLICES = 1000
+
+
+def exact_quantiles(df: DataFrame, column: str, levels: Sequence[float], accuracy: int = 100_000) -> DataFrame:
+    """A row (level, quantile) per level: the linearly interpolated quantile of the non-NULL values.
 
-    A mergeable sketch brackets the wanted rank, then one pass counts the values inside the
-    bracket. Only their histogram, at most about 10/accuracy of the rows, is sorted in one
-    place; everything outside shrinks to two rows. The built-in exact percentile would carry
-    every distinct value to a single task instead.
+    A mergeable sketch brackets the wanted ranks of all levels, then one more pass counts the values
+    inside the brackets, at most about 10/accuracy of the rows for each; what lies between two brackets
+    shrinks to one row with its smallest and largest value. Counts are summed up over slices first and
+    then within each slice, so no task sorts all values. The built-in exact percentile would carry every
+    distinct value to a single task instead.
     """
-    if not 0 <= q <= 1:
+    if not all(0 <= q <= 1 for q in levels):
         raise ValueError("q must lie between 0 and 1")
     values = df.select(F.col(column).alias("v")).filter("v IS NOT NULL")
     margin = 4 / accuracy
-    sketch = values.agg(
-        F.count("v").alias("n"),
-        F.percentile_approx("v", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy).alias("bounds"),
-    )
-    # One subquery for all three: the values are read once here and once for the histogram.
-    known = sketch.select(F.struct(F.col("bounds")[0].alias("low"), F.col("bounds")[1].alias("high"), "n")).scalar()
-    low, high, total = known["low"], known["high"], known["n"]
+    ends = [e for q in levels for e in (max(q - margin, 0.0), min(q + margin, 1.0))]
+    sketch = values.agg(F.percentile_approx("v", ends, accuracy).alias("ends"), F.count("v").alias("n"))
+    # One subquery for all of it: the values are read once here and once for the histogram.
+    known = sketch.select(F.struct("ends", "n")).scalar()
+    v, total = F.col("v"), known["n"]
+    brackets = [(known["ends"][2 * i], known["ends"][2 * i + 1]) for i in range(len(levels))]
 
-    v = F.col("v")
-    side = F.when(v < low, -1).when(v <= high, 0).otherwise(1)
+    inside = F.lit(False)
+    below = F.lit(0)
+    for low, high in brackets:
+        inside = inside | ((v >= low) & (v <= high))
+        below = below + (v > high).cast("int") + (v >= low).cast("int")
+    # Order of the pieces: brackets and the gaps between them by how many ends lie below, then slices.
+    first_low, last_high = F.least(*[b[0] for b in brackets], F.lit(None)), F.greatest(*[b[1] for b in brackets], F.lit(None))
+    width = F.nullif((last_high - first_low).cast("double"), F.lit(0.0))
+    slice_ = F.coalesce(F.floor((v - first_low).cast("double") / width * SLICES), F.lit(0))
+    piece = F.struct(below.alias("below"), F.when(inside, slice_).alias("slice"))
     histogram = (
-        values.select(v, side.alias("side"))
-        .groupBy("side", F.when(F.col("side") == 0, v).alias("inside"))
-        .agg(
-            F.count(F.lit(1)).alias("copies"),
-            # Next to the bracket only the nearest value on either side can be wanted.
-            F.when(F.col("side") < 0, F.max("v")).otherwise(F.min("v")).alias("v"),
-        )
-    )
-    rank = (total - 1) * F.lit(q)
-    upto = F.sum("copies").over(W.orderBy("side", "v").rowsBetween(W.unboundedPreceding, 0))
-    ranked = histogram.select("side", v, "copies", upto.alias("upto"), rank.alias("rank"))
-    below = F.coalesce(F.max(F.when(F.col("side") < 0, F.col("upto"))), F.lit(0))
-    inside = F.coalesce(F.max(F.when(F.col("side") <= 0, F.col("upto"))), F.lit(0))
-    floor_rank = F.floor(F.col("rank"))
-    picked = ranked.agg(
-        below.alias("below"),
-        inside.alias("inside"),
-        F.first("rank").alias("rank"),
-        F.min(F.when(F.col("upto") > floor_rank, F.struct("side", "v"))).alias("lower"),
-        F.min(F.when(F.col("upto") > floor_rank + 1, F.struct("side", "v"))).alias("upper"),
+        values.select(v, piece.alias("piece"), inside.alias("inside"))
+        .groupBy("piece", "inside", F.when(F.col("inside"), v).alias("value"))
+        .agg(F.count(F.lit(1)).alias("copies"), F.min("v").alias("least"), F.max("v").alias("most"))
     )
-    lower = F.col("lower.v").cast("double")
-    upper = F.coalesce(F.col("upper.v").cast("double"), lower)
-    missed = (floor_rank < F.col("below") - 1) | (floor_rank > F.col("inside"))
-    return picked.select(
-        F.when(missed, F.raise_error(F.lit("the sketch missed the quantile; raise accuracy")).cast("double"))
-        .otherwise(lower + (upper - lower) * (F.col("rank") - floor_rank))
-        .alias("quantile")
+    # At most SLICES rows and a few per level.
+    pieces = histogram.groupBy("piece").agg(F.sum("copies").alias("copies"))
+    before = F.coalesce(F.sum("copies").over(W.orderBy("piece").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    within = W.partitionBy("piece").orderBy("least").rowsBetween(W.unboundedPreceding, 0)
+    ranked = histogram.join(pieces.select("piece", before.alias("before")), "piece").withColumn(
+        "end", F.col("before") + F.sum("copies").over(within)
     )
+    start = F.col("end") - F.col("copies")
+
+    def at(rank: Column) -> Column:
+        """The value of that rank. Of a gap between brackets only the ends are known."""
+        missed = F.raise_error(F.lit("the sketch missed the quantile; raise accuracy")).cast("double")
+        known_value = (
+            F.when(F.col("inside") | (rank == start), F.col("least").cast("double"))
+            .when(rank == F.col("end") - 1, F.col("most").cast("double"))
+            .otherwise(missed)
+        )
+        return F.max(F.when((start <= rank) & (rank < F.col("end")), known_value))
+
+    picked = []
+    for i, q in enumerate(levels):
+        lower = F.floor((total - 1) * F.lit(q))
+        picked += [at(lower).alias(f"lower{i}"), at(lower + 1).alias(f"upper{i}")]
+    found = ranked.agg(F.max(total).alias("n"), *picked)
+    rows = []
+    for i, q in enumerate(levels):
+        rank, low = (F.col("n") - 1) * F.lit(q), F.col(f"lower{i}")
+        part = (F.coalesce(F.col(f"upper{i}"), low) - low) * (rank - F.floor(rank))
+        rows.append(F.struct(F.lit(float(q)).alias("level"), (low + part).alias("quantile")))
+    return found.select(F.inline(F.array(*rows)))
+
+
+def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 100_000) -> DataFrame:
+    """One row, one column `quantile`; see `exact_quantiles`."""
+    return exact_quantiles(df, column, [q], accuracy).select("quantile")
 
 
 def approximate_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000) -> DataFrame:

@@ -15,7 +15,7 @@ from salesloom import config
 from salesloom.functions.numeric import publish
 from salesloom.operators import clean, fact, quality
 from salesloom.operators.dedup import removed_duplicates
-from salesloom.operators.quantile import exact_quantile
+from salesloom.operators.quantile import exact_quantiles
 from salesloom.plans import charts, pipeline, reports
 from salesloom.plans.marts import MART_NAMES, Marts
 from salesloom.plans.warehouse import Warehouse
@@ -171,8 +171,8 @@ def _line_economics(w: Warehouse) -> DataFrame:
 
 def _order_total_quantiles(w: Warehouse) -> DataFrame:
     orders = w.staged("orders")
-    levels = [exact_quantile(orders, "order_total", q).withColumn("level", F.lit(q)) for q in (0.05, 0.5, 0.95)]
-    return _union(levels).select("level", F.round("quantile", 4).alias("order_total"))
+    levels = exact_quantiles(orders, "order_total", (0.05, 0.5, 0.95))
+    return levels.select("level", F.round("quantile", 4).alias("order_total"))
 
 
 CLEANING: dict[str, Query] = {

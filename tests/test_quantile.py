@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from conftest import plan_of
 
-from salesloom.operators.quantile import exact_quantile
+from salesloom.operators.quantile import exact_quantile, exact_quantiles
 
 CASES = {
     "one": [5.0],
@@ -32,6 +32,15 @@ def test_exact_although_the_sketch_is_coarse(spark, q):
     assert exact_quantile(df, "x", q, accuracy=50).first()[0] == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
 
 
+@pytest.mark.parametrize("accuracy", [50, 100_000])
+@pytest.mark.parametrize("name", CASES)
+def test_several_levels_in_one_call(spark, name, accuracy):
+    levels = [0.9, 0.0, 0.5, 0.52, 1.0]
+    df = spark.createDataFrame([(v,) for v in CASES[name]], "x double").repartition(5)
+    got = {r.level: r.quantile for r in exact_quantiles(df, "x", levels, accuracy).collect()}
+    assert got == {q: pytest.approx(float(np.quantile(CASES[name], q)), rel=1e-12, abs=1e-12) for q in levels}
+
+
 def test_no_values(spark):
     assert exact_quantile(spark.createDataFrame([(None,)], "x double"), "x", 0.5).first()[0] is None
 
