@@ -21,6 +21,8 @@ from salesloom.sources.store import Store
 log = logging.getLogger(__name__)
 
 PHASES = ("etl", "warehouse")
+#: The staging tables of the last run and their rows.
+MANIFEST, MANIFEST_SCHEMA = "staging_manifest", "table string, rows bigint"
 
 @dataclass
 class Run:
@@ -78,7 +80,10 @@ def run_etl(
     """
     raw, extracted = files.extract_all(spark, raw_folder)
     cleaned = clean.transform_all(raw, settings)
+    # Nothing counts as staged until all of this run's tables are.
+    store.save(spark.createDataFrame([], MANIFEST_SCHEMA), MANIFEST)
     staging, counts = sinks.load_all(cleaned, store)
+    store.save(counts, MANIFEST)
     # Everything after loading reads the staged copy instead of cleaning again.
     for source, table in STAGING_TABLES.items():
         if csv_copies and table in staging:
@@ -97,7 +102,14 @@ def run_etl(
 
 
 def run_warehouse(spark: SparkSession, store: Store, settings: Settings) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Dimensions, fact, marts, views, reports and exports from what `run_etl` has staged."""
+    """Dimensions, fact, marts, views, reports and exports from what `run_etl` has staged.
+
+    Tables that an earlier run has left, and the last one has not replaced, are not used.
+    """
+    known = {row["table"] for row in store.load(MANIFEST).select("table").collect()}
+    absent = [source for source, table in STAGING_TABLES.items() if table not in known]
+    if absent:
+        raise LookupError(f"the last run has not staged {', '.join(absent)} in {store.root}")
     staged = {source: store.load(table) for source, table in STAGING_TABLES.items()}
     warehouse = Warehouse.over_staging(spark, store, settings, staged)
     results = {

@@ -115,6 +115,17 @@ def test_missing_sources_do_not_stop_the_first_phase(spark, folder, raw_folder):
     assert "orphans" not in run.reports
 
 
+def test_tables_of_an_earlier_run_are_not_mixed_in(spark, folder, raw_folder):
+    out = f"{folder}/out"
+    pipeline.run_pipeline(spark, raw_folder, out, SETTINGS, only="etl")
+    later = Path(folder) / "later"
+    later.mkdir()
+    (later / "orders.csv").write_text((Path(raw_folder) / "orders.csv").read_text())
+    pipeline.run_pipeline(spark, str(later), out, SETTINGS, only="etl")
+    with pytest.raises(LookupError, match="customers"):
+        pipeline.run_pipeline(spark, raw_folder, out, SETTINGS, only="warehouse")
+
+
 def test_views_are_replaced(spark, sample):
     names = pipeline.register_views(Marts(sample))
     again = pipeline.register_views(Marts(sample))
