@@ -24,7 +24,6 @@ from salesloom.llm.common import SPACES, kept, split_words
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
-_SPACE_CHARACTERS = " \t\n\x0b\x0c\r"
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -62,7 +61,11 @@ def _measured(docs: DataFrame, text: Column, host: Column) -> DataFrame:
         lambda a, i: F.struct((a["n"] + WINDOW - F.greatest(F.lit(0), a["end"] - i)).alias("n"), (i + WINDOW).alias("end")),
         lambda a: a["n"],
     )
-    symbols = F.length("_q_text") - F.length(F.translate("_q_text", SYMBOLS, ""))
+    plain = F.col("_q_text")
+    for symbol in SYMBOLS:
+        plain = F.replace(plain, F.lit(symbol), F.lit(""))
+    symbols = F.length("_q_text") - F.length(plain)
+    spaces = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
     return (
         docs.withColumns({"_q_text": F.coalesce(text, F.lit("")), "_q_host": F.coalesce(host, F.lit(""))})
         .withColumns({"_q_words": words, "_q_lines": lines})
@@ -70,12 +73,13 @@ def _measured(docs: DataFrame, text: Column, host: Column) -> DataFrame:
             {
                 "_q_n_words": F.size("_q_words").cast("long"),
                 "_q_hashes": F.transform("_q_words", lambda w: F.xxhash64(w)),
-                "_q_word_chars": F.length(F.translate("_q_text", _SPACE_CHARACTERS, "")).cast("long"),
+                "_q_word_chars": F.length(F.array_join("_q_words", "")).cast("long"),
                 "_q_n_symbols": symbols.cast("long"),
                 "_q_n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"),
+                # The words of a normalised line stand one space apart.
                 "_q_line_hashes": F.transform(
-                    "_q_lines",
-                    lambda x: F.struct(F.xxhash64(normal(x)).alias("h"), F.regexp_count(x, F.lit(_WORD)).alias("w")),
+                    F.transform("_q_lines", normal),
+                    lambda x: F.struct(F.xxhash64(x).alias("h"), (spaces(x) + 1).alias("w")),
                 ),
                 "_q_text_hash": F.xxhash64("_q_text"),
             }
