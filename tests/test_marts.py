@@ -169,7 +169,7 @@ def test_entry_and_registry():
 
     assert len(entry.queries()) >= 80
     assert set(catalog.queries()) <= set(entry.oracle_sql()) <= set(entry.queries())
-    assert catalog.queries().keys() == entry.queries().keys()
+    assert catalog.queries().keys() <= entry.queries().keys()
 
 
 def test_entry_runs(spark):
