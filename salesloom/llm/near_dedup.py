@@ -11,7 +11,12 @@
 3. Candidates form candidate groups (connected components). A group's full sets meet in one task, which
    finds all links in it: from any document it walks along links, so each document is compared, by counts of
    shared shingles, with those not reached yet. Nothing is emitted but one edge per document. A group above a
-   fixed size is dealt into blocks, and every pair of blocks is a task of its own: no pair is left out.
+   fixed size is dealt into blocks, and a few of its members, the pivots, visit every block, so that near
+   copies of one text are one component after this. What is left are the strays, those outside the main component
+   of their group: they are compared with each other and with the main one, in blocks again; the main component is
+   never compared with itself. Where strays would fill many blocks, this is done region by region of the trees,
+   each with its own main component, so that only what shares a region meets. So the work on a hot group
+   grows with its members, and with pairs only as far as they are unlike and yet share a region.
 4. Components of the links are the result.
 
 Defined cases: a text without words, or NULL, has an empty set and links with nothing; ids are taken to
@@ -38,13 +43,17 @@ MISSED = 1e-4
 @dataclass(frozen=True)
 class Likeness:
     """Shingles of `words` words; a link is percent * union <= 100 * intersection. `beyond`: values
-    that go on ordering a region below the least depth. `block`: documents that meet in one task, twice at most."""
+    that go on ordering a region below the least depth. `block`: documents that meet in one task, twice at most.
+    `pivots`: about so many documents of a large group visit each of its blocks. `stray_blocks`: up to so many
+    blocks of strays a group is compared as a whole, beyond that region by region."""
 
     words: int = 5
     percent: int = 80
     trees: int = 32
     beyond: int = 4
     block: int = 1500
+    pivots: int = 48
+    stray_blocks: int = 8
 
     @property
     def depth(self) -> int:
@@ -146,8 +155,10 @@ def _candidates(classes: DataFrame) -> DataFrame:
     return found.filter("region IS NULL").select("a", "b").unionByName(cut.select("a", F.explode("b").alias("b")))
 
 
-def walk_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """The component of each set under links of at least that similarity, as the place of one of its members."""
+def walk_links(sets: list[np.ndarray], percent: int, settled: np.ndarray | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The component of each set under links of at least that similarity, as the place of one of its members.
+    `settled` sets are known to be one component: no walk starts or goes on from them, and each walk
+    that meets them tells so by one pair (where it met them first, one of them)."""
     sizes = np.array([len(s) for s in sets])
     owners = np.repeat(np.arange(len(sets)), sizes)
     _, shingles, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -158,11 +169,12 @@ def walk_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
     holders, ends = owners[order], np.cumsum(np.bincount(shingles, minlength=len(times)))
     begins = np.r_[0, ends[:-1]]
     waiting, component = np.ones(len(sets), bool), np.arange(len(sets))
+    settled, met = np.zeros(len(sets), bool) if settled is None else settled, []
     in_lists = len(sets)
     for root in range(len(sets)):
-        if not waiting[root]:
+        if not waiting[root] or settled[root]:
             continue
-        waiting[root] = False
+        waiting[root], alone = False, True
         queue = [root]
         while queue:
             i = queue.pop()
@@ -174,6 +186,10 @@ def walk_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
             at = np.repeat(begins[own] - (np.cumsum(lengths) - lengths), lengths) + np.arange(total)
             common = np.bincount(holders[at], minlength=len(sets))
             linked = np.flatnonzero(waiting & (common > 0) & (100 * common >= percent * (sizes[i] + sizes - common)))
+            if settled[linked].any():
+                if alone:
+                    met.append((root, int(linked[settled[linked]][0])))
+                alone, linked = False, linked[~settled[linked]]
             waiting[linked], component[linked] = False, root
             queue += linked.tolist()
             left = int(waiting.sum())
@@ -183,16 +199,38 @@ def walk_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
                 holders, in_lists = holders[still], left
                 ends = np.cumsum(np.bincount(names, minlength=len(ends)))
                 begins = np.r_[0, ends[:-1]]
-    return component
+    return component, met
 
 
-def _links(percent: int):
+def _walk(table: pa.Table, percent: int, settled: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) that tie the rows of a task into their components."""
+    ids = table.column("id").to_numpy()
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+    component, met = walk_links(sets, percent, settled)
+    more = component != np.arange(len(ids))
+    met = np.array(met, np.int64).reshape(-1, 2)
+    return np.r_[ids[component[more]], ids[met[:, 0]]], np.r_[ids[more], ids[met[:, 1]]]
+
+
+def _block_links(percent: int):
+    def links(table: pa.Table) -> pa.Table:
+        """Links of a block as (id, other); of groups of several blocks also (group, id, set) of those at home here."""
+        a, b = _walk(table, percent)
+        names = ["group", "id", "other", "shingles"]
+        found = pa.table([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.nulls(len(a), pa.binary())], names=names)
+        if table.column("blocks")[0].as_py() == 1:
+            return found
+        home = table.filter(table.column("home"))
+        sets = [home.column("component"), home.column("id"), pa.nulls(home.num_rows, pa.int64()), home.column("shingles")]
+        return pa.concat_tables([found, pa.table(sets, names=names)])
+
+    return links
+
+
+def _pair_links(percent: int):
     def links(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
-        component = walk_links(sets, percent)
-        more = component != np.arange(len(ids))
-        return pa.table([pa.array(ids[component[more]]), pa.array(ids[more])], names=["a", "b"])
+        a, b = _walk(table, percent, table.column("settled").to_numpy())
+        return pa.table([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return links
 
@@ -208,6 +246,47 @@ def _full_sets(k: int):
     return full
 
 
+def _mains(labelled: DataFrame, key: str, block: int) -> DataFrame:
+    """For each key that holds several components the largest one, and the blocks of its members and of all others."""
+    return (
+        labelled.groupBy(key, "label")
+        .agg(F.count("*").alias("n"))
+        .groupBy(key)
+        .agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
+        .filter("n > most.n")
+        .select(
+            key, F.col("most.label").alias("main"), F.ceil((F.col("n") - F.col("most.n")) / block).cast("int").alias("strays"),
+            F.ceil(F.col("most.n") / block).cast("int").alias("mains"),
+        )
+    )
+
+
+def _across(large: DataFrame, first: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """Links (a, b) within large groups between members that are not in one component yet."""
+    labelled = large.select("group", "id").join(first, F.col("id") == F.col("node"), "left")
+    labelled = kept(labelled.select("group", "id", F.coalesce("component", "id").alias("label")), "labelled")
+    mixed = labelled.join(_mains(labelled, "group", like.block), "group")
+    many = kept(mixed.filter(F.col("strays") > like.stray_blocks).select("id", "label"), "many")
+    spots = many.join(classes.select("id", "regions"), "id").select(F.explode("regions").alias("region"), "id", "label")
+    few = mixed.filter(F.col("strays") <= like.stray_blocks).withColumnRenamed("group", "region")
+    meeting = few.unionByName(spots.join(_mains(spots, "region", like.block), "region"))
+    # A stray block meets every other one and every main block; a main block meets the strays only.
+    stray = F.col("label") != F.col("main")
+    own = F.pmod(F.xxhash64("id"), F.when(stray, F.col("strays")).otherwise(F.col("mains"))).cast("int")
+    numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    with_strays = F.transform(numbers("strays"), lambda x: pair(F.least(x, own), F.greatest(x, own)))
+    of_stray = F.concat(F.filter(with_strays, lambda p: p["i"] < p["j"]), F.transform(numbers("mains"), lambda x: pair(own, -1 - x)))
+    of_main = F.transform(numbers("strays"), lambda x: pair(x, -1 - own))
+    tasks = meeting.select("region", "id", (~stray).alias("settled"), F.explode(F.when(stray, of_stray).otherwise(of_main)).alias("pair"))
+    return (
+        tasks.join(large.select("id", "shingles"), "id")
+        .select("region", "pair.i", "pair.j", "id", "settled", "shingles")
+        .groupBy("region", "i", "j")
+        .applyInArrow(_pair_links(like.percent), "a bigint, b bigint")
+    )
+
+
 def near_duplicates(docs: DataFrame, like: Likeness | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     like = like or Likeness()
@@ -230,15 +309,19 @@ def near_duplicates(docs: DataFrame, like: Likeness | None = None, id_column: st
         .dropDuplicates(["id"])
         .mapInArrow(_full_sets(like.words), "id bigint, component bigint, blocks int, shingles binary")
     )
-    # Every pair of blocks of a group, and each block with itself if it is alone.
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    others = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, own).alias("i"), F.greatest(x, own).alias("j"))
+    pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks") * (like.block // like.pivots + 1)) == 0)
+    visits = F.when(pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
+    dealt = sets.select("component", "blocks", "id", "shingles", F.explode(visits).alias("block"), own.alias("own"))
+    found = kept(
+        dealt.withColumn("home", F.col("block") == F.col("own"))
+        .groupBy("component", "block")
+        .applyInArrow(_block_links(like.percent), "group bigint, id bigint, other bigint, shingles binary"),
+        "links",
     )
-    pairs = F.filter(others, lambda p: (p["i"] < p["j"]) | (F.col("blocks") == 1))
-    dealt = sets.withColumn("pair", F.explode(pairs)).select("component", "pair.i", "pair.j", "id", "shingles")
-    links = dealt.groupBy("component", "i", "j").applyInArrow(_links(like.percent), "a bigint, b bigint")
-    components = connected(links)
+    first = kept(connected(found.filter("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b"))), "linked")
+    across = _across(found.filter("shingles IS NOT NULL"), first, classes, like)
+    components = connected(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across))
     named = classes.join(components, classes["id"] == components["node"], "left").select(
         "digest", "digest2", F.col("n").alias("size"), F.coalesce("component", "id").alias("component")
     )

@@ -167,20 +167,31 @@ def test_near_duplicates(docs, sample, pairs, k, percent):
         assert all(r["kept"] == (r["component_id"] == i) for i, r in found.items())
 
 
-def test_large_group_in_blocks(spark):
+@pytest.mark.parametrize("stray_blocks", [0, 8])
+def test_large_group_in_blocks(spark, stray_blocks):
+    """With few pivots many are strays, which meet as a whole group or region by region."""
     generator = random.Random(3)
     base = [f"b{i}" for i in range(120)]
     rows = []
     for i in range(90):
         own = list(base)
-        for _ in range(generator.randrange(8)):
+        for _ in range(generator.randrange(8 if i % 4 else 14)):
             own[generator.randrange(120)] = f"x{generator.randrange(10**6)}"
         rows.append((i, " ".join(own)))
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    found = by_id(near_dedup.near_duplicates(df, near_dedup.Likeness(words=3, percent=85, block=7)))
+    found = by_id(near_dedup.near_duplicates(df, near_dedup.Likeness(words=3, percent=85, block=7, pivots=1, stray_blocks=stray_blocks)))
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in found.items()} == brute.near(rows, 3, 85)
 
 
+def test_settled_sets_are_met_but_not_walked():
+    base = np.arange(40, dtype=np.uint64)
+    sets = [base, base[:39], base[:20], base[1:], np.arange(100, 110, dtype=np.uint64)]
+    component, met = near_dedup.walk_links(sets, 85, np.array([False, True, True, True, False]))
+    assert component.tolist() == [0, 1, 2, 3, 4] and met == [(0, 1)]
+    component, met = near_dedup.walk_links(sets, 85)
+    assert component.tolist() == [0, 0, 2, 0, 4] and met == []
+
+
 def test_repeated_rows_are_one_class(repeated):
     found = rows_of(near_dedup.near_duplicates(repeated, near_dedup.Likeness(words=3, percent=85)))
     expected = brute.near(list(enumerate(TEXTS)), 3, 85)
