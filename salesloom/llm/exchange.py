@@ -35,6 +35,13 @@ def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
+def by_range(to: np.ndarray) -> dict[int, np.ndarray]:
+    """The places of each range's keys, in their order; one sort, however many ranges there are."""
+    order = np.argsort(to, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(to[order])) + 1)
+    return {int(to[part[0]]): part for part in parts if len(part)}
+
+
 def packed(values: np.ndarray, ascending: bool = False) -> bytes:
     """Integers as bytes: differences if they ascend, then byte by byte of all, compressed."""
     if ascending and len(values):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from salesloom.llm.common import shipped
-from salesloom.llm.exchange import in_batches, packed, range_of, unpacked
+from salesloom.llm.exchange import by_range, in_batches, packed, range_of, unpacked
 from salesloom.llm.words import SPACED, Words, find_words, slices
 
 LENGTH = 13
@@ -55,13 +55,16 @@ def _ask(length: int, ranges: int):
         hashes, owners, _, ids = _windows(table, length)
         keys, first = np.unique(hashes, return_index=True)
         to, holder = range_of(keys * np.uint64(0x9FB21C651E98DF25) ^ (keys >> np.uint64(29)), ranges), owners[first]
-        rows = [(int(r), packed(keys[to == r], True), packed(holder[to == r].astype(np.uint32))) for r in np.unique(to)]
+        rows = []
+        for r, places in by_range(to).items():
+            # Only the ids that hold one of these keys, so that a row is bounded by its keys.
+            own, holders = np.unique(holder[places], return_inverse=True)
+            rows.append((r, packed(keys[places], True), packed(holders.astype(np.uint32)), packed(ids[own], True)))
         batch = table.column("batch")[0].as_py()
-        all_ids = packed(ids, True)
         return pa.table(
             [
                 pa.array([r[0] for r in rows], pa.int64()), pa.array([batch] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-                pa.array([r[2] for r in rows], pa.binary()), pa.array([all_ids] * len(rows), pa.binary()),
+                pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary()),
             ],
             names=["range", "batch", "keys", "holders", "ids"],
         )
