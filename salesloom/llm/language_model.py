@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from salesloom.llm.common import kept
-from salesloom.llm.exchange import in_batches, packed, range_of, unpacked
+from salesloom.llm.exchange import by_range, in_batches, packed, range_of, unpacked
 from salesloom.llm.words import SPACED, Words, find_words, mix, slices
 
 SMOOTHING = 0.1
@@ -87,7 +87,7 @@ def _ask(shape: Shape, ranges: int):
         keys, first, inverse, to = _keys(hashes, ranges)
         own = np.bincount(inverse, weights=np.repeat(trains, counts), minlength=len(keys)).astype(np.uint32)
         batch = table.column("batch")[0].as_py()
-        rows = [(int(r), packed(keys[to == r], True), packed(own[to == r]), suffixes[first[to == r]].tobytes()) for r in np.unique(to)]
+        rows = [(r, packed(keys[at], True), packed(own[at]), suffixes[first[at]].tobytes()) for r, at in by_range(to).items()]
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
         columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
         return pa.table([columns[0], pa.array([batch] * len(rows), pa.int64()), *columns[1:]], names=["range", "batch", "keys", "counts", "suffixes"])
@@ -273,9 +273,9 @@ def _score(vocabulary: Vocabulary, parts: list[np.ndarray], shape: Shape, ranges
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         hashes, suffixes, counts, trains = _batch_words(table, shape)
         keys, _, inverse, to = _keys(hashes, ranges)
-        totals = np.zeros(len(keys), np.int64)
+        totals, places = np.zeros(len(keys), np.int64), by_range(to)
         for at, data in zip(answers.column("range").to_pylist(), answers.column("totals").to_pylist(), strict=True):
-            totals[to == at] = unpacked(data, np.int64)
+            totals[places[at]] = unpacked(data, np.int64)
         classes = vocabulary.classes(hashes, suffixes, shape)
         target, one, two = _contexts(classes, counts, shape)
         occurs = np.full(len(target), vocabulary.texts, np.int64)
