@@ -31,13 +31,19 @@ _WORD = r"[^\x20\x09-\x0D]+"
 class Limits:
     """`line_share`: a line of more than this share of a host's texts is boilerplate, if at least
     `line_texts` texts have it. It lies above a third, the share a group of near copies may have.
-    A document is depleted if under `least_words` words or under `least_percent` of them remain."""
+    A document is depleted if under `least_words` words or under `least_percent` of them remain.
+    `spare_copies`: texts that the lines above the limit would deplete are near copies, and no evidence of boilerplate."""
 
     least_words: int = 10
     repeat_percent: int = 20
     line_texts: int = 20
     line_share: float = 0.4
     least_percent: int = 30
+    spare_copies: bool = False
+
+
+# What the corpus pipeline strips. The report keeps the limits of its SQL counterpart.
+BOILERPLATE = Limits(line_share=0.03, spare_copies=True)
 
 
 def _measured(docs: DataFrame, text: Column, host: Column) -> DataFrame:
@@ -97,14 +103,37 @@ def _measured(docs: DataFrame, text: Column, host: Column) -> DataFrame:
     )
 
 
+def _of_frequent(field: str) -> Column:
+    return F.transform(F.filter("_q_line_hashes", lambda x: F.array_contains("_q_frequent", x["h"])), lambda x: x[field])
+
+
+def _removed() -> Column:
+    """Words of the lines in `_q_frequent`; 0 if it is NULL."""
+    removed = F.aggregate(_of_frequent("w"), F.lit(0).cast("long"), lambda total, w: total + w)
+    return F.when(F.col("_q_frequent").isNull(), F.lit(0).cast("long")).otherwise(removed)
+
+
+def _enough(left: Column, limits: Limits) -> Column:
+    return (left >= limits.least_words) & (100 * left >= limits.least_percent * F.col("_q_n_words"))
+
+
 def frequent_lines(measured: DataFrame, limits: Limits) -> DataFrame:
     """Per host, the hashes of its lines above the limit; hosts without any are left out."""
     totals = measured.select("_q_host", "_q_text_hash").distinct().groupBy("_q_host").agg(F.count("*").alias("texts"))
-    lines = measured.select("_q_host", "_q_text_hash", F.explode(F.array_distinct("_q_line_hashes.h")).alias("h")).distinct()
-    counted = lines.groupBy("_q_host", "h").agg(F.count("*").alias("n")).filter(F.col("n") >= limits.line_texts)
-    over = counted.join(totals, "_q_host").filter(F.col("n") > limits.line_share * F.col("texts"))
-    # Written, so that the planner knows how small it is and does not deal the documents out by host.
-    return kept(over.groupBy("_q_host").agg(F.collect_set("h").alias("_q_frequent")), "frequent")
+
+    def above(docs: DataFrame, hashes: Column, name: str) -> DataFrame:
+        lines = docs.select("_q_host", "_q_text_hash", F.explode(F.array_distinct(hashes)).alias("h")).distinct()
+        counted = lines.groupBy("_q_host", "h").agg(F.count("*").alias("n")).filter(F.col("n") >= limits.line_texts)
+        over = counted.join(totals, "_q_host").filter(F.col("n") > limits.line_share * F.col("texts"))
+        # Written, so that the planner knows how small it is and does not deal the documents out by host.
+        return kept(over.groupBy("_q_host").agg(F.collect_set("h").alias("_q_frequent")), name)
+
+    frequent = above(measured, F.col("_q_line_hashes.h"), "frequent")
+    if not limits.spare_copies:
+        return frequent
+    # Near copies share nearly all their lines, which are counted again over the texts that keep enough of their own.
+    others = measured.join(frequent, "_q_host").filter(_enough(F.col("_q_n_words") - _removed(), limits))
+    return above(others, _of_frequent("h"), "boilerplate")
 
 
 def judge_quality(
@@ -115,20 +144,12 @@ def judge_quality(
     limits = limits or Limits()
     measured = kept(_measured(docs, F.col(text_column), F.col(host_column)), "quality")
     n = F.col("_q_n_words")
-    removed = F.aggregate(
-        F.filter("_q_line_hashes", lambda x: F.array_contains("_q_frequent", x["h"])),
-        F.lit(0).cast("long"),
-        lambda total, x: total + x["w"],
-    )
     left = n - F.col("_q_removed_words")
     return (
         measured.join(frequent_lines(measured, limits), "_q_host", "left")
-        .withColumn("_q_removed_words", F.when(F.col("_q_frequent").isNull(), F.lit(0).cast("long")).otherwise(removed))
+        .withColumn("_q_removed_words", _removed())
         .withColumn("_q_base_failed", (n < limits.least_words) | (100 * F.col("_q_n_repeat_words") > limits.repeat_percent * n))
-        .withColumn(
-            "_q_kept",
-            ~F.col("_q_base_failed") & (left >= limits.least_words) & (100 * left >= limits.least_percent * n),
-        )
+        .withColumn("_q_kept", ~F.col("_q_base_failed") & _enough(left, limits))
     )
 
 
@@ -143,7 +164,7 @@ def without_frequent_lines(text: Column) -> Column:
 
 def apply_quality(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Documents that pass, without the lines their host repeats; `n_chars` follows the text."""
-    judged = judge_quality(docs, limits=limits).filter("_q_kept")
+    judged = judge_quality(docs, limits=limits or BOILERPLATE).filter("_q_kept")
     changed = judged.withColumn("text", without_frequent_lines(F.col("text")))
     if "n_chars" in docs.columns:
         size = F.when(F.col("_q_removed_words") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))

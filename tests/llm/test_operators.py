@@ -266,6 +266,17 @@ def test_boilerplate_of_a_host_is_removed_and_depleted_documents_go(spark):
     assert cleaned[3]["text"] == own(3) and cleaned[3]["n_chars"] == len(own(3)) and cleaned[400]["text"] == menu.lower()
 
 
+def test_boilerplate_of_few_per_cent_goes_and_near_copies_stay(spark):
+    menu = "share this page with all your friends today"
+    own = lambda i: "\n".join(" ".join(f"own{i}w{j}l{k}" for j in range(6)) for k in range(4))
+    copy = lambda i: own(9000) + f"\nedited word{i}"
+    rows = [(i, f"{menu}\n{own(i)}" if i < 30 else own(i), "a", 0) for i in range(500)] + [(1000 + i, copy(i), "a", 0) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string, n_chars bigint")
+    cleaned = by_id(quality_rules.apply_quality(df))
+    assert len(cleaned) == len(rows)
+    assert all(cleaned[i]["text"] == own(i) for i in range(30)) and all(cleaned[1000 + i]["text"] == copy(i) for i in range(200))
+
+
 # Language model
 
 
