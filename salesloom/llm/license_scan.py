@@ -4,7 +4,9 @@ All rolling word bigrams of the documents are joined, by hash, to the bigrams of
 templates. A template that stands in a document at word d matches along the diagonal
 (place in the document) - (place in the template) = d; so hits are counted per diagonal,
 neighbouring diagonals are merged (words put in or left out move the rest of a template by a few
-places), and a span counts if it covers enough of the template. The join compares the words
+places), and a span counts if it covers enough of the template. Where copies of a notice, or words that repeat one of
+its bigrams, chain up a span of more than twice the template, each of its diagonals is verified with those up to half
+a template's length beside it, and of overlapping ones the best covered is the span. The join compares the words
 themselves besides their hash, so a vote is never a collision.
 
 A bigram of two function words alone would hit everywhere: it does not vote, and is not
@@ -62,6 +64,7 @@ def _words(text: str) -> list[str]:
     return "".join(c if c.isascii() and c.isalnum() or not c.isascii() else " " for c in text.lower()).split()
 
 
+UNITS = 1_000_000
 TEMPLATE_COLUMNS = ["label", "exact", "words", "votes", "t_place", "t_pair"]
 
 
@@ -82,6 +85,21 @@ def template_table(spark: SparkSession, phrases=None, notices=None) -> DataFrame
     return parameter_table(spark, rows, TEMPLATE_COLUMNS).withColumn("t_hash", F.xxhash64("t_pair"))
 
 
+def _apart(anchors: Column, words: Column) -> Column:
+    """Of the spans around diagonals those that cover most, one for each copy: copies begin a template's length apart."""
+    ordered = F.array_sort(anchors)
+
+    def add(found: Column, anchor: Column) -> Column:
+        last = F.get(found, F.size(found) - 1)
+        return (
+            F.when(last.isNull() | (anchor["diagonal"] - last["diagonal"] >= words), F.concat(found, F.array(anchor)))
+            .when(anchor["span"]["coverage"] > last["span"]["coverage"], F.concat(F.slice(found, F.lit(1), F.size(found) - 1), F.array(anchor)))
+            .otherwise(found)
+        )
+
+    return F.transform(F.aggregate(ordered, F.slice(ordered, 1, 0), add), lambda a: a["span"])
+
+
 def find_licenses(docs: DataFrame, templates: DataFrame, voting: Voting | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, n_words, and `spans`, an array of (label, exact, start, stop, coverage)."""
     voting = voting or Voting()
@@ -108,21 +126,37 @@ def find_licenses(docs: DataFrame, templates: DataFrame, voting: Voting | None =
     apart = F.col("diagonal") - F.lag("diagonal").over(along)
     # A phrase must stand as it is: its diagonals are never merged.
     starts = F.when(F.col("exact") | apart.isNull() | (apart > voting.gap), 1).otherwise(0)
-    merged = (
+    in_span = [*template, "span"]
+    whole = W.partitionBy(*in_span)
+    # Half a template's words to either side, in units that do not depend on the template.
+    beside = whole.orderBy(F.floor(F.col("diagonal") * (2 * UNITS) / F.col("words"))).rangeBetween(-UNITS, UNITS)
+    within = lambda column: F.when(F.col("long"), column)
+    chained = (
         diagonals.withColumn("span", F.sum(starts).over(along.rowsBetween(W.unboundedPreceding, 0)))
-        .groupBy(*template, "span")
-        .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("matched")))).alias("found"),
-            F.min("low").alias("start"),
-            (F.max("high") + 2).alias("stop"),
+        .withColumn("long", ~F.col("exact") & (F.max("high").over(whole) + 2 - F.min("low").over(whole) > 2 * F.col("words")))
+        .withColumns(
+            {
+                "found_beside": F.size(F.array_distinct(F.flatten(F.collect_list(within(F.col("matched"))).over(beside)))),
+                "low_beside": F.min(within(F.col("low"))).over(beside),
+                "high_beside": F.max(within(F.col("high"))).over(beside),
+            }
         )
-        .withColumn("coverage", F.col("found") / F.col("votes"))
     )
-    verified = F.when(F.col("exact"), F.col("found") == F.col("votes")).otherwise(
-        (F.col("coverage") >= voting.coverage) & (F.col("stop") - F.col("start") <= 2 * F.col("words"))
+    struct = lambda start, high, found: F.struct(
+        "label", "exact", start.cast("long").alias("start"), (high + 2).cast("long").alias("stop"), (found / F.col("votes")).alias("coverage")
+    )
+    by_anchor = F.struct("diagonal", struct(F.col("low_beside"), F.col("high_beside"), F.col("found_beside")).alias("span"))
+    covered = F.col("found_beside") >= voting.coverage * F.col("votes")
+    merged = chained.groupBy(*in_span, "long").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("matched")))).alias("found"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.collect_list(F.when(F.col("long") & covered, by_anchor)).alias("anchors"),
     )
-    span = F.struct("label", "exact", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), "coverage")
-    return merged.groupBy("row", "id", "n_words").agg(F.collect_list(F.when(verified, span)).alias("spans")).select(
+    verified = F.when(F.col("exact"), F.col("found") == F.col("votes")).otherwise(F.col("found") / F.col("votes") >= voting.coverage)
+    one = F.when(verified, F.array(struct(F.col("low"), F.col("high"), F.col("found")))).otherwise(F.array())
+    merged = merged.withColumn("spans", F.when(F.col("long"), _apart(F.col("anchors"), F.col("words"))).otherwise(one))
+    return merged.groupBy("row", "id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans")).select(
         F.col("id").alias(id_column), "n_words", "spans"
     )
 

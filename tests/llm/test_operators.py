@@ -101,6 +101,20 @@ def test_edited_notice_is_found_across_diagonals(spark):
     assert found[2]["labels"] == "" and found[3]["labels"] == ""
 
 
+def test_repeated_notices_are_found_in_a_chain(spark):
+    notice = " ".join(license_scan.TEMPLATES["apache-notice"].split())
+    caption = "Photo: licensed under CC BY-NC. "
+    texts = [notice, *[(notice + " x" * n + " ") * 3 for n in (0, 3, 8)], notice + " a b c d the license" * 40]
+    texts += [caption * 2, "".join(f"Figure {i} {caption[7:]}" for i in range(3)), "a b c d the license " * 40]
+    found = by_id(license_scan.license_report(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")))
+    assert [found[i]["labels"].split(",")[-1] for i in range(8)] == ["apache-notice"] * 5 + ["cc-by-nc"] * 2 + [""]
+    assert all(found[i]["score"] == 1 for i in range(7))
+    spans = license_scan.find_licenses(spark.createDataFrame([(1, texts[2])], "doc_id int, text string"), license_scan.template_table(spark)).first()
+    words = len(license_scan._words(notice))
+    whole = sorted(s["start"] for s in spans["spans"] if not s["exact"])
+    assert len(whole) == 3 and all(s["stop"] - s["start"] <= 2 * words for s in spans["spans"] if not s["exact"])
+
+
 # Substrings
 
 
