@@ -116,8 +116,9 @@ def best_fit(counts: Filling, capacity: int) -> list[tuple[int, Filling]]:
 
 
 def fillings(counts: Filling, sizes: list[int], capacity: int, width: int, steps: int) -> list[Filling]:
-    """Fillings around the largest size, the fullest first. `sizes` are those left, ascending. A filling
-    is left out if a larger piece that is left could stand for one of its pieces, as that one dominates it."""
+    """Fillings around the largest size, the fullest first. `sizes` are those left, ascending. Each size is tried as often
+    as it fits and any less. A filling is left out if a piece that is left still fits in, or if a larger one
+    could stand for one of its pieces, as that one dominates it."""
     largest = sizes[-1]
     found: list[tuple[int, int, Filling]] = []
     budget = steps
@@ -133,24 +134,29 @@ def fillings(counts: Filling, sizes: list[int], capacity: int, width: int, steps
         tried = 0
         while at >= 0 and budget > 0 and tried < width:
             size = sizes[at]
-            most = min(counts[size] - chosen.get(size, 0), room // size)
+            already = chosen.get(size, 0)
+            most = min(counts[size] - already, room // size)
             if most > 0:
                 tried += 1
-                already = chosen.get(size, 0)
-                chosen[size] = already + most
-                done = grow(room - most * size, size - 1, chosen)
+                # Fewer of the smallest size only leave room for more of it.
+                for take in range(most, 0 if at else most - 1, -1):
+                    if budget <= 0:
+                        break
+                    chosen[size] = already + take
+                    if grow(room - take * size, size - 1, chosen):
+                        return True
                 if already:
                     chosen[size] = already
                 else:
                     del chosen[size]
-                if done:
-                    return True
             at -= 1
         return False
 
     grow(capacity - largest, largest, {largest: 1})
 
     def dominated(room: int, filling: Filling) -> bool:
+        if any(counts[size] > filling.get(size, 0) for size in sizes[: bisect_right(sizes, room)]):
+            return True
         for size in filling:
             if size == largest:
                 continue

@@ -468,6 +468,13 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert {s: sum(n * f.get(s, 0) for n, f in fit) for s in counts} == counts
 
 
+def test_sizes_are_tried_less_often_than_they_fit():
+    counts = {1038: 120, 404: 120, 303: 240}
+    packed = packing.bin_completion(counts, 2048)
+    assert {s: sum(n * f.get(s, 0) for n, f in packed) for s in counts} == counts
+    assert sum(n for n, _ in packed) == 120 and all(sum(s * n for s, n in f.items()) <= 2048 for _, f in packed)
+
+
 # All of them
 
 
