@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and strings that surrounding code does not explain.
 
-A string near a sensitive word is a candidate. What it costs is measured with zstandard: the
+A string near a sensitive word, before or behind it, is a candidate, and so is one near a novel string. What it costs is measured with zstandard: the
 surrounding text is compressed alone and with the candidate behind it, by a compressor that is
 primed with a dictionary of identifiers. The difference is the candidate's marginal size. Prose
 and identifiers repeat pieces of what is already there and cost little; a key does not, and is
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +40,8 @@ SENSITIVE = re.compile(
     re.ASCII | re.IGNORECASE,
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]+=*")
+# A key's last line, which may be short, before the line that closes the key.
+LAST_LINE = re.compile(r"(?:[\r\n]|\\[rn])+\x20*([A-Za-z0-9+/]{1,15}=*)(?=(?:\s|\\[rn])*-----END)", re.ASCII)
 # What a match holds for certain: quick searches for these skip the patterns where nothing can be found.
 ASSIGN_PARTS = ("passw", "secret", "token", "key")
 SENSITIVE_PARTS = ("passw", "passphrase", "pwd", "secret", "token", "credential", "bearer", "authorization", "key")
@@ -62,7 +65,7 @@ IDENTIFIERS = """
 
 @dataclass(frozen=True)
 class Novelty:
-    """`reach`: characters from a sensitive word to the start of a candidate. `length`: least characters of
+    """`reach`: characters between a candidate and a sensitive word, or a novel string that it continues. `length`: least characters of
     a candidate. `around`: characters of text on either side that may explain it. `bytes_per_character`:
     marginal size from which on a string is novel."""
 
@@ -97,11 +100,9 @@ class Scanner:
             found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
         return sorted(found)
 
-    def candidates(self, text: str) -> Iterator[tuple[int, int]]:
-        """Strings that start within reach of a sensitive word, each once."""
-        lower, done = text.lower(), 0
-        if not any(part in lower for part in SENSITIVE_PARTS):
-            return
+    def seeds(self, text: str) -> Iterator[tuple[int, int]]:
+        """Strings that start within reach after a sensitive word, each once."""
+        done = 0
         for word in SENSITIVE.finditer(text):
             for m in CANDIDATE.finditer(text, max(done, word.end())):
                 if m.start() > word.end() + self.novelty.reach:
@@ -110,15 +111,63 @@ class Scanner:
                 if m.end() - m.start() >= self.novelty.length:
                     yield m.start(), m.end()
 
+    def strings(self, text: str) -> tuple[list[tuple[int, int]], list[bool]]:
+        """Long strings by place, apart from each other, and which of them are within reach of a sensitive word, on either
+        side of it; nothing if there is no such word."""
+        lower = text.lower()
+        if not any(part in lower for part in SENSITIVE_PARTS):
+            return [], []
+        reach, length = self.novelty.reach, self.novelty.length
+        runs = [m.span() for m in CANDIDATE.finditer(text) if m.end() - m.start() >= length]
+        ends, before = [end for _, end in runs], []
+        for word in SENSITIVE.finditer(text):
+            for i in range(bisect_left(ends, word.start() - reach), len(runs)):
+                if runs[i][0] >= word.start():
+                    break
+                before.append((runs[i][0], min(runs[i][1], word.start())))
+        out: dict[tuple[int, int], bool] = {}
+        for near, spans in ((True, list(self.seeds(text))), (True, before), (False, runs)):
+            taken = sorted(out)
+            for start, end in spans:
+                i = bisect_left(taken, (end, end))
+                if end - start >= length and not (i and taken[i - 1][1] > start):
+                    out[start, end] = near
+            out = dict(sorted(out.items()))
+        return self._apart(out)
+
+    @staticmethod
+    def _apart(spans: dict[tuple[int, int], bool]) -> tuple[list[tuple[int, int]], list[bool]]:
+        """Of spans by place, those that start behind all before them."""
+        at, kept = 0, []
+        for span in spans:
+            if span[0] >= at:
+                kept.append(span)
+                at = span[1]
+        return kept, [spans[span] for span in kept]
+
     def scan(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], float]:
-        """Base spans, novel spans apart from them, and the highest marginal size per character."""
+        """Base spans, novel spans apart from them, and the highest marginal size per character. A novel string puts the
+        next string on either side within reach as well, so that a secret of several lines or parts goes on."""
         base, novel, highest = self.base_spans(text), [], 0.0
-        for start, end in self.candidates(text):
+        spans, near = self.strings(text)
+        waiting, asked, reach = [i for i, x in enumerate(near) if x], list(near), self.novelty.reach
+        free = lambda start, end: not any(s < end and start < e for s, _, e in base)
+        while waiting:
+            i = waiting.pop()
+            start, end = spans[i]
             novelty = self.marginal_bytes(text, start, end) / (end - start)
             highest = max(highest, novelty)
-            if novelty >= self.novelty.bytes_per_character and not any(s < end and start < e for s, _, e in base):
-                novel.append((start, 3, end))
-        return base, novel, highest
+            if novelty < self.novelty.bytes_per_character:
+                continue
+            rest = LAST_LINE.match(text, end)
+            for a, b in [(start, end), *([rest.span(1)] if rest else [])]:
+                if free(a, b):
+                    novel.append((a, 3, b))
+            for k in (i - 1, i + 1):
+                if 0 <= k < len(spans) and not asked[k] and max(spans[k][0] - end, start - spans[k][1]) <= reach:
+                    asked[k] = True
+                    waiting.append(k)
+        return base, sorted(novel), highest
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
