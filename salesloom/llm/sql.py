@@ -151,6 +151,36 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM w LEFT JOIN hit ON w.doc_id = hit.doc_id LEFT JOIN named ON w.doc_id = named.doc_id
 """
 
+# CRC-32 of the digits of an id, bit by bit: -1 shifts, another number is a byte.
+PERIODIC_RUNS = f"""
+WITH hashed AS (
+  SELECT doc_id, {_spaced("coalesce(text, '')")} AS ws, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END)) AS h FROM documents),
+parts AS (SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS planted, (h // 10) % greatest(len(ws), 1) AS a, h // 10 AS g FROM hashed),
+shaped AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM parts),
+words AS (
+  SELECT doc_id, list_transform(range(0, n), lambda i: ws[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END]) AS ws FROM shaped),
+grams AS (
+  SELECT doc_id, i, array_to_string(ws[i+1:i+6], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - 5)) AS i FROM words WHERE len(ws) >= 6)),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS period FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, period, min(i) AS start, count(*) + 5 + period AS length FROM islands GROUP BY doc_id, period, island),
+runs AS (
+  SELECT doc_id, start, length, min(period) AS period FROM stretches WHERE length >= 12 AND length >= 2 * period GROUP BY doc_id, start, length),
+figures AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+    list(struct_pack(length := length, start := start, period := period) ORDER BY length DESC, start, period)[1] AS best
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+places AS (SELECT doc_id, unnest(ws) AS word, unnest(range(0, len(ws))) AS i FROM words),
+kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS text FROM places p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id)
+SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+  1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM words w LEFT JOIN figures f ON w.doc_id = f.doc_id LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
 ORACLE = {
     "op2_license_scan": _license_scan(),
     "op3_substring_dedup": SUBSTRING_DEDUP,
@@ -158,4 +188,5 @@ ORACLE = {
     "op6_quality_rules": QUALITY_RULES,
     "op8_url_filter": URL_FILTER,
     "op9_decontamination": DECONTAMINATION,
+    "op12_periodic_runs": PERIODIC_RUNS,
 }

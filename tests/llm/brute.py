@@ -135,3 +135,36 @@ def by_shard(rows, key):
     for r in rows:
         out[r[key]].append(r)
     return out
+
+
+def planted_words(key, text):
+    """Words of a text, of every tenth key with a period."""
+    words = re.findall(SPACED, text or "")
+    n = len(words)
+    h = zlib.crc32(str(key).encode())
+    if key is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def runs(words, least=12):
+    """(start, length, period) of all runs, by trying every period."""
+    found = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(least, 2 * q):
+                found.setdefault((i, j - i + q), q)
+            i = j + 1
+    return sorted((start, length, q) for (start, length), q in found.items())
+
+
+def collapsed(words, own):
+    gone = {i for start, length, q in own for i in range(start + q, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
