@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import decontaminate, language_model, license_scan, near_dedup, packing, periodic_runs, quality_rules, secret_scan, sharding, sql, substring_dedup, url_filter
+from salesloom.llm import decontaminate, language_model, license_scan, near_dedup, packing, parity_join, periodic_runs, quality_rules, secret_scan, sharding, sql, substring_dedup, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.runs_report(_table(spark, sf_dir, "documents"))
 
 
+def op13_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -70,6 +74,7 @@ def queries():
         "op9_decontamination": op9_decontamination,
         "op10_packing": op10_packing,
         "op12_periodic_runs": op12_periodic_runs,
+        "op13_parity_join": op13_parity_join,
     }
 
 

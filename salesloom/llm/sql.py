@@ -115,25 +115,32 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """
 
-NEAR_DEDUP = f"""
+
+def _linked(words: int, percent: int, columns: str) -> str:
+    """Documents with the components of their links, from every pair that shares a shingle."""
+    return f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_spaced(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS ws FROM documents),
 shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(ws[i:i+2], ' ') AS s FROM (
-    SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i+{words - 1}], ' ') AS s FROM (
+    SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {words - 1}, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (
   SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
-  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+  WHERE 100 * c.n >= {percent} * (x.n + y.n - c.n)),
 both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached AS (
   SELECT doc_id, doc_id AS other FROM w
   UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a)
-SELECT w.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id, w.doc_id = min(other) AS kept
+SELECT w.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id{columns}
 FROM w JOIN reached r ON w.doc_id = r.doc_id LEFT JOIN sizes s ON w.doc_id = s.doc_id GROUP BY w.doc_id
 """
 
+
+NEAR_DEDUP = _linked(3, 85, ", w.doc_id = min(other) AS kept")
+PARITY_JOIN = _linked(4, 85, "")
+
 DECONTAMINATION = f"""
 WITH w AS (SELECT doc_id, {_letters('text')} AS ws FROM documents),
 items AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM (SELECT item_id, {_letters('text')} AS ws FROM benchmark) WHERE len(ws) > 0),
@@ -189,4 +196,5 @@ ORACLE = {
     "op8_url_filter": URL_FILTER,
     "op9_decontamination": DECONTAMINATION,
     "op12_periodic_runs": PERIODIC_RUNS,
+    "op13_parity_join": PARITY_JOIN,
 }
