@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import decontaminate, language_model, license_scan, near_dedup, packing, parity_join, periodic_runs, quality_rules, secret_scan, sharding, sql, substring_dedup, url_filter
+from salesloom.llm import decontaminate, language_model, license_scan, near_dedup, packing, parity_join, periodic_runs, quality_rules, secret_scan, sharding, sql, substring_dedup, token_alignment, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.runs_report(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ def queries():
         "op8_url_filter": op8_url_filter,
         "op9_decontamination": op9_decontamination,
         "op10_packing": op10_packing,
+        "op11_token_alignment": op11_token_alignment,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_parity_join": op13_parity_join,
     }

@@ -168,3 +168,62 @@ def runs(words, least=12):
 def collapsed(words, own):
     gone = {i for start, length, q in own for i in range(start + q, start + length)}
     return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def tokenizers():
+    """Encoders of a text by the two vocabularies, as (ids, bytes of each id)."""
+    import public_tokenizers as P
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    first = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in first]
+    letters = {chr(b): b for b in first} | {chr(256 + k): b for k, b in enumerate(rest)}
+    one = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    one.encode_special_tokens = True
+    two = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+
+    def a(text):
+        ids = one.encode(" " + text, add_special_tokens=False).ids
+        return ids, [bytes(letters[c] for c in one.id_to_token(i)) for i in ids]
+
+    def b(text):
+        ids = two.encode(text)
+        pieces = [two.id_to_piece(i) for i in ids]
+        return ids, [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode() for p in pieces]
+
+    return a, b
+
+
+def alignments(docs):
+    """{id: (n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)} of (id, text) rows."""
+    a, b = tokenizers()
+    groups = {}
+    for i, text in docs:
+        if not text:
+            continue
+        (ids_a, spelled_a), (ids_b, spelled_b) = a(text), b(text)
+        whole = (" " + text).encode()
+        if b"".join(spelled_a) != whole or b"".join(spelled_b) != whole:
+            continue
+        ends = [[sum(map(len, side[: k + 1])) for k in range(len(side))] for side in (spelled_a, spelled_b)]
+        cuts = sorted(set(ends[0]) & set(ends[1]))
+        own, at = [], 0
+        for cut in cuts:
+            own.append(tuple([x for x, end in zip(ids, e) if at < end <= cut] for ids, e in ((ids_a, ends[0]), (ids_b, ends[1]))))
+            at = cut
+        groups[i] = own
+    linked = {i: [(x, y) for xs, ys in own for x in xs for y in ys] for i, own in groups.items()}
+    counts = Counter(pair for own in linked.values() for pair in set(own))
+    highest = defaultdict(int)
+    for (x, _), n in counts.items():
+        highest[x] = max(highest[x], n)
+    out = {}
+    for i, _ in docs:
+        own, links = groups.get(i, []), linked.get(i, [])
+        text = ";".join(f"{','.join(map(str, xs))}|{','.join(map(str, ys))}" for xs, ys in own)
+        out[i] = (
+            sum(len(xs) for xs, _ in own), sum(len(ys) for _, ys in own), len(own), len(links), sum(counts[p] == highest[p[0]] for p in links),
+            sum(counts[p] for p in links), sha(text) if own else "",
+        )
+    return out
