@@ -1,6 +1,7 @@
 """Run the batch job: spark-submit or python -m salesloom RAW_FOLDER OUT_FOLDER [etl|warehouse] [--setting value ...]
 
-Every field of `Settings` is an option: --calendar-start 2022-01-01, --yoy-years 2022,2023,2024, --as-of 2024-12-31.
+Every field of `Settings` is an option: --calendar-start 2022-01-01, --yoy-years 2022,2023,2024, --as-of 2024-12-31,
+--single-line orders,order_items.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ def _numbers(text: str) -> tuple[int, ...]:
 def _reader(annotation: str):
     if "date" in annotation:
         return date.fromisoformat
+    if "tuple[str" in annotation:
+        return lambda text: tuple(filter(None, text.split(",")))
     return _numbers if "tuple" in annotation else {"float": float, "str": str}[annotation]
 
 

@@ -2,8 +2,8 @@
 
 Amounts as they come are DECIMAL(24,4): twenty digits before the point, and nothing is rounded
 before the reference would round. What the warehouse computes from them is money,
-DECIMAL(18,2): an eight-byte value whose sums do not depend on the order of partitions; a
-value that does not fit it stops the run. Rounding is half away from zero and always happens
+DECIMAL(18,2): an eight-byte value whose sums do not depend on the order of partitions. A
+number that does not fit is NULL, never another number, and a row of `value_rejects`. Rounding is half away from zero and always happens
 on decimals, because binary doubles round differently from engine to engine. Results turn into
 doubles once, in `publish`.
 """
@@ -22,15 +22,24 @@ def money(col: Column) -> Column:
 
 
 def amount(col: Column) -> Column:
-    """Coerce to an amount. Anything unreadable (text, NaN) becomes NULL; a number of more than
-    twenty digits is not mistaken for that, but stops the run."""
+    """Coerce to an amount; anything unreadable (text, NaN) and a number of more than twenty digits become NULL."""
+    return col.try_cast(AMOUNT)
+
+
+def is_number(col: Column) -> Column:
+    """Whether a value reads as a number, of whatever size; never NULL."""
     number = col.try_cast("double")
-    return F.coalesce(col.try_cast(AMOUNT), F.when(~F.isnan(number), number).cast(AMOUNT))
+    return number.isNotNull() & ~F.isnan(number)
+
+
+def filled(value: Column, col: Column, default: Column) -> Column:
+    """`value`, which `col` was coerced to, or the default if `col` is missing or unreadable. A number that did not fit stays NULL."""
+    return F.when(value.isNotNull() | is_number(col), value).otherwise(default)
 
 
-def coerce_count(col: Column) -> Column:
-    """Coerce to a whole number of any size, dropping a fraction such as that of 12.0."""
-    return F.coalesce(col.try_cast("bigint"), coerce_number(col).try_cast("bigint"))
+def whole(col: Column, kind: str = "bigint") -> Column:
+    """Coerce to a whole number, dropping a fraction such as that of 12.0; one that does not fit becomes NULL."""
+    return F.coalesce(col.try_cast(kind), col.try_cast("decimal(38,10)").try_cast(kind))
 
 
 def coerce_number(col: Column) -> Column:
@@ -40,8 +49,8 @@ def coerce_number(col: Column) -> Column:
 
 
 def coerce_int(col: Column) -> Column:
-    """Coerce to a whole number, dropping the fraction."""
-    return coerce_number(col).try_cast("int")
+    """Coerce to a whole number of 32 bits, dropping the fraction."""
+    return whole(col, "int")
 
 
 def zero_if_null(col: Column, decimals: int) -> Column:

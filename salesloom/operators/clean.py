@@ -1,7 +1,8 @@
 """Cleaning and enrichment of the five raw sources.
 
 Each function takes a raw table (text or typed columns alike), keeps unknown columns and
-returns the cleaned table with one row per business key.
+returns the cleaned table with one row per business key. A number that does not fit its column is
+NULL, and a row of `value_rejects` (rejects.py).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from salesloom import config
 from salesloom.functions.binning import bin_label
 from salesloom.functions.dates import flag, parse_date
-from salesloom.functions.numeric import AMOUNT, MONEY, amount, coerce_count, coerce_int, coerce_number, percent, ratio
+from salesloom.functions.numeric import AMOUNT, MONEY, amount, coerce_int, coerce_number, filled, percent, ratio, whole
 from salesloom.functions.text import clean_email, clean_label
 from salesloom.operators.dedup import keep_first
 from salesloom.operators.quantile import approximate_quantile, exact_quantile
@@ -34,6 +35,15 @@ def _active(col: Column) -> Column:
     return F.coalesce(coerce_int(col), F.lit(1))
 
 
+def _amount(name: str) -> Column:
+    """An amount, zero if it is missing or unreadable; NULL if it does not fit."""
+    return filled(amount(F.col(name)), F.col(name), F.lit(0).cast(AMOUNT))
+
+
+def _count(name: str, default: int) -> Column:
+    return filled(whole(F.col(name)), F.col(name), F.lit(default).cast("bigint"))
+
+
 def price_band(price: Column) -> Column:
     return bin_label(price, config.PRICE_BAND_EDGES, config.PRICE_BAND_LABELS)
 
@@ -72,11 +82,10 @@ def clean_customers(df: DataFrame, as_of: date | None = None, order_by: Sequence
 def clean_products(
     df: DataFrame, price_fallback_factor: str = "1.5", order_by: Sequence[str] | None = None
 ) -> DataFrame:
-    fallback = F.round(F.col("unit_cost") * F.lit(price_fallback_factor).cast("decimal(6,3)"), 2).cast(AMOUNT)
     price, cost = F.col("unit_price"), F.col("unit_cost")
+    fallback = F.round(amount(cost) * F.lit(price_fallback_factor).cast("decimal(6,3)"), 2).try_cast(AMOUNT)
     cleaned = (
-        df.withColumns({"unit_cost": amount(cost), "unit_price": amount(price)})
-        .withColumn("unit_price", F.coalesce(price, fallback))
+        df.withColumns({"unit_cost": amount(cost), "unit_price": filled(amount(price), price, fallback)})
         .withColumns(
             {
                 "margin_pct": percent(price - cost, price, 1),
@@ -100,9 +109,9 @@ def clean_orders(
         {
             "order_date": parse_date(df, "order_date"),
             "shipped_date": parse_date(df, "shipped_date"),
-            "order_total": F.coalesce(amount(F.col("order_total")), F.lit(0).cast(AMOUNT)),
-            "order_profit": F.coalesce(amount(F.col("order_profit")), F.lit(0).cast(AMOUNT)),
-            "num_items": F.coalesce(coerce_int(F.col("num_items")), F.lit(1)),
+            "order_total": _amount("order_total"),
+            "order_profit": _amount("order_profit"),
+            "num_items": _count("num_items", 1),
             "status": accepted_or_unknown(clean_label(F.col("status")), config.ORDER_STATUSES),
             "channel": clean_label(F.col("channel")),
         }
@@ -127,14 +136,11 @@ def clean_orders(
 
 
 def clean_order_items(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    amounts = {
-        name: F.coalesce(amount(F.col(name)), F.lit(0).cast(AMOUNT))
-        for name in ("unit_price", "discount_pct", "discount_amt", "line_total", "line_profit")
-    }
-    quantity = F.coalesce(coerce_int(F.col("quantity")), F.lit(0))
-    cleaned = df.withColumns({**amounts, "quantity": F.greatest(quantity, F.lit(1))}).withColumns(
+    amounts = {name: _amount(name) for name in ("unit_price", "discount_pct", "discount_amt", "line_total", "line_profit")}
+    quantity, total = _count("quantity", 0), F.col("line_total")
+    cleaned = df.withColumns({**amounts, "quantity": F.when(quantity < 1, F.lit(1)).otherwise(quantity)}).withColumns(
         {
-            "line_total": F.greatest(F.col("line_total"), F.lit(0).cast(AMOUNT)),
+            "line_total": F.when(total < 0, F.lit(0).cast(AMOUNT)).otherwise(total),
             "effective_unit_price": F.col("unit_price") - F.col("discount_amt"),
         }
     )
@@ -150,13 +156,8 @@ CAMPAIGN_FIGURES = (
 def clean_campaigns(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Figures that the source does not have at all, which the column contract reports, count as missing."""
     df = df.withColumns({c: F.lit(None).cast("string") for c in CAMPAIGN_FIGURES if c not in df.columns})
-    amounts = {
-        name: F.coalesce(amount(F.col(name)), F.lit(0).cast(AMOUNT)) for name in ("budget", "spend", "revenue_generated")
-    }
-    counts = {
-        name: F.coalesce(coerce_count(F.col(name)), F.lit(0).cast("bigint"))
-        for name in ("impressions", "clicks", "conversions")
-    }
+    amounts = {name: _amount(name) for name in ("budget", "spend", "revenue_generated")}
+    counts = {name: _count(name, 0) for name in ("impressions", "clicks", "conversions")}
     rates = {
         name: F.round(F.col(name).try_cast("decimal(18,6)"), digits)
         for name, digits in (("ctr", 3), ("conversion_rate", 3), ("roi", 2))

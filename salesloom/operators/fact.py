@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesloom import config
@@ -43,13 +45,26 @@ def _keyed_orders(orders: DataFrame, dim_customer: DataFrame, dim_date: DataFram
     )
 
 
+def _money(col: Column) -> Column:
+    """Rounded here for the first time; NULL if it is no money."""
+    return F.round(col, 2).try_cast(MONEY)
+
+
+def usable() -> Column:
+    """Whether all numbers of a line, and what is computed from them, are money: nothing in it was set aside when it was staged."""
+    cost = F.coalesce(F.col("unit_cost"), F.lit(0))
+    total = _money(F.try_multiply(cost, F.col("quantity")))
+    needed = [*[_money(F.col(c)) for c in ("unit_price", "discount_pct", "discount_amt", "line_total")], _money(cost), total]
+    profit = (_money(F.col("line_total")) - total).try_cast(MONEY)
+    return reduce(lambda a, b: a & b, [c.isNotNull() for c in (*needed, profit)])
+
+
 def with_measures(lines: DataFrame) -> DataFrame:
-    """Defaults for missing inputs, cost, profit and margin; lines without revenue count as zero."""
+    """Cost, profit and margin of usable lines; lines without revenue count as zero."""
     zero = F.lit(0).cast(MONEY)
 
     def amount(name: str) -> Column:
-        # Rounded here for the first time; an amount beyond the type stops the run.
-        return F.coalesce(F.round(F.col(name), 2).cast(MONEY), zero)
+        return F.coalesce(_money(F.col(name)), zero)
 
     revenue, profit = F.col("line_revenue"), F.col("line_profit")
     sold = F.coalesce(F.col("is_revenue"), F.lit(0)) == 1
@@ -58,7 +73,6 @@ def with_measures(lines: DataFrame) -> DataFrame:
         lines.withColumns(
             {
                 "unit_cost": amount("unit_cost"),
-                "quantity": F.coalesce(F.col("quantity"), F.lit(1)),
                 "unit_price": amount("unit_price"),
                 "discount_pct": amount("discount_pct"),
                 "discount_amt": amount("discount_amt"),
@@ -83,14 +97,14 @@ def build_fact(
     dim_product: DataFrame,
     dim_campaign: DataFrame,
 ) -> DataFrame:
-    """One row per order line whose order, date, customer and product all resolve.
+    """One row per usable order line whose order, date, customer and product all resolve.
 
     Shuffles at line grain: by order, and by product and by campaign unless those dimensions are
     small enough for Spark to broadcast them.
     """
     lines = items.join(_keyed_orders(orders, dim_customer, dim_date, "inner"), "order_id").join(
         dim_product.select("product_id", "product_key", "unit_cost"), "product_id"
-    )
+    ).filter(usable())
     return with_measures(with_campaign(lines, dim_campaign)).select(
         *[F.col("status").alias(c) if c == "order_status" else F.col(c) for c in FACT_COLUMNS],
         F.year("order_date").alias("order_year"),
@@ -102,8 +116,9 @@ def fact_rejects(
 ) -> DataFrame:
     """The lines `build_fact` leaves out, with what they lack."""
     keyed = _keyed_orders(orders, dim_customer, dim_date, "left").withColumn("order_found", F.lit(True))
-    products = dim_product.select("product_id", "product_key")
-    lines = items.select("item_id", "order_id", "product_id").join(keyed, "order_id", "left")
+    products = dim_product.select("product_id", "product_key", "unit_cost")
+    numbers = ("quantity", "unit_price", "discount_pct", "discount_amt", "line_total")
+    lines = items.select("item_id", "order_id", "product_id", *numbers).join(keyed, "order_id", "left")
     found = F.col("order_found").isNotNull()
     return (
         lines.join(products, "product_id", "left")
@@ -115,12 +130,13 @@ def fact_rejects(
             flag(found & F.col("date_key").isNull()).alias("missing_date"),
             flag(found & F.col("customer_key").isNull()).alias("missing_customer"),
             flag(F.col("product_key").isNull()).alias("missing_product"),
+            flag(~usable()).alias("unusable_value"),
         )
-        .filter("missing_order + missing_date + missing_customer + missing_product > 0")
+        .filter("missing_order + missing_date + missing_customer + missing_product + unusable_value > 0")
     )
 
 
-REJECT_REASONS = ("missing_order", "missing_date", "missing_customer", "missing_product")
+REJECT_REASONS = ("missing_order", "missing_date", "missing_customer", "missing_product", "unusable_value")
 
 
 def reject_summary(rejects: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ typed_orders AS (
          {_pick("o_orderkey", "Card", "Cash", "Transfer", "Wallet", "Invoice")} AS payment_method,
          CAST(o_totalprice AS DECIMAL(18,2)) AS order_total,
          CASE WHEN o_orderkey % 9 <> 0 THEN round(CAST(o_totalprice AS DECIMAL(18,2)) * 0.3, 2) ELSE 0 END AS order_profit,
-         CAST(COALESCE(num_items, 1) AS INTEGER) AS num_items
+         CAST(COALESCE(num_items, 1) AS BIGINT) AS num_items
   FROM raw_orders LEFT JOIN order_lines ON o_orderkey = l_orderkey),
 clean_orders AS (
   SELECT order_id, customer_id, order_date, shipped_date,
@@ -107,7 +107,7 @@ clean_orders AS (
   FROM typed_orders),
 raw_items AS (
   SELECT l_orderkey || '-' || l_linenumber AS item_id, l_orderkey AS order_id, l_partkey AS product_id,
-         CAST(l_quantity AS INTEGER) AS quantity,
+         CAST(l_quantity AS BIGINT) AS quantity,
          {_div(_scaled("CAST(l_extendedprice AS DECIMAL(18,2))"), "CAST(l_quantity AS INTEGER) * 100", 2)} AS unit_price,
          CAST(l_discount AS DECIMAL(4,2)) AS discount, CAST(l_tax AS DECIMAL(4,2)) AS tax,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS gross_amount, l_linenumber AS line_no, l_suppkey AS campaign_ref
@@ -459,11 +459,13 @@ _REJECTED = """
 SELECT i.item_id, i.order_id, i.product_id, CAST(o.order_id IS NULL AS INTEGER) AS missing_order,
        CAST(o.order_id IS NOT NULL AND d.date_key IS NULL AS INTEGER) AS missing_date,
        CAST(o.order_id IS NOT NULL AND c.customer_key IS NULL AS INTEGER) AS missing_customer,
-       CAST(p.product_key IS NULL AS INTEGER) AS missing_product
+       CAST(p.product_key IS NULL AS INTEGER) AS missing_product,
+       CAST(COALESCE(greatest(abs(i.unit_price), abs(i.discount_pct), abs(i.discount_amt), abs(i.line_total), abs(p.unit_cost)) >= 1e16
+         OR p.unit_cost * i.quantity >= 1e16 OR i.quantity IS NULL, FALSE) AS INTEGER) AS unusable_value
 FROM items i LEFT JOIN clean_orders o USING (order_id)
 LEFT JOIN dim_date d ON o.order_date = d.full_date
 LEFT JOIN dim_customer c ON o.customer_id = c.customer_id LEFT JOIN dim_product p ON i.product_id = p.product_id
-WHERE o.order_id IS NULL OR d.date_key IS NULL OR c.customer_key IS NULL OR p.product_key IS NULL
+WHERE o.order_id IS NULL OR d.date_key IS NULL OR c.customer_key IS NULL OR p.product_key IS NULL OR unusable_value = 1
 """
 _WAREHOUSE = {
     "dim_date": "dim_date", "dim_customer": "dim_customer", "dim_product": "dim_product",
@@ -622,7 +624,7 @@ FINAL = {
     "fact_rejects": _REJECTED,
     "reject_summary": " UNION ALL ".join(
         f"SELECT '{r}' AS reason, CAST(COALESCE(SUM({r}), 0) AS BIGINT) AS rows FROM ({_REJECTED})"
-        for r in ("missing_order", "missing_date", "missing_customer", "missing_product")
+        for r in ("missing_order", "missing_date", "missing_customer", "missing_product", "unusable_value")
     ),
     "fact_summary": (
         "SELECT COUNT(*) AS fact_rows, COUNT(*) FILTER (is_revenue = 1) AS revenue_rows, SUM(line_revenue)::DOUBLE AS total_revenue, "
@@ -746,6 +748,20 @@ FINAL = {
         "(CASE WHEN campaign_id % 7 = 0 THEN 12345678901234567890.5 WHEN campaign_id % 11 <> 0 THEN 7.125 ELSE 0 END)::DOUBLE AS budget, "
         f"({_div('CAST((spend + 0.004) * 1000 AS BIGINT)', 'clicks * 1000', 2)})::DOUBLE AS cost_per_click FROM campaigns"
     ),
+    "items_from_text": (
+        "SELECT item_id, CASE WHEN part % 11 = 3 THEN 3000000000 WHEN part % 11 <> 4 THEN greatest(CASE WHEN part % 11 = 5 THEN 0 ELSE quantity END, 1) END AS quantity, "
+        "CASE part % 11 WHEN 6 THEN NULL WHEN 7 THEN 0 ELSE line_total END::DOUBLE AS line_total, "
+        "CASE part % 11 WHEN 8 THEN NULL ELSE line_profit END::DOUBLE AS line_profit "
+        "FROM (SELECT *, CAST(order_id AS BIGINT) AS part FROM items)"
+    ),
+    "value_rejects": (
+        "WITH r AS (SELECT item_id AS key, l_orderkey % 11 AS part FROM (SELECT l_orderkey || '-' || l_linenumber AS item_id, * FROM lineitem)), "
+        "bad(part, \"column\", raw_text, reason) AS (VALUES (4, 'quantity', '123456789012345678901', 'out of range'), (5, 'quantity', 'two', 'unreadable'), "
+        "(6, 'line_total', 'Infinity', 'out of range'), (7, 'line_total', 'x1', 'unreadable'), (8, 'line_profit', '123456789012345678901234567890', 'out of range')) "
+        "SELECT 'order_items' AS source, key, \"column\", raw_text, reason FROM r JOIN bad USING (part) UNION ALL "
+        "SELECT 'customers', CAST(customer_id AS VARCHAR), 'joined_date', joined_date, 'unreadable' FROM raw_customers WHERE joined_date = '1993-02-31' UNION ALL "
+        "SELECT 'orders', CAST(o_orderkey AS VARCHAR), 'order_date', 'unknown', 'unreadable' FROM orders WHERE o_orderkey % 101 = 0"
+    ),
     "extract_report": (
         "SELECT 'customers' AS source, 'read' AS status, 'missing columns: email' AS missing, COUNT(*) AS rows FROM raw_customers "
         "UNION ALL SELECT s, 'failed', '', NULL FROM (VALUES ('products'), ('orders'), ('order_items'), ('campaigns')) AS v(s)"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesloom import config
 from salesloom.functions.numeric import publish
-from salesloom.operators import clean, fact, quality
+from salesloom.operators import clean, fact, quality, rejects
 from salesloom.operators.dedup import removed_duplicates
 from salesloom.operators.quantile import exact_quantiles
 from salesloom.plans import charts, pipeline, reports
@@ -408,6 +408,31 @@ def campaigns_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result(clean.clean_campaigns(text).select(*columns))
 
 
+def _items_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as text; of every eleven orders five have one value that its column cannot hold, and one a quantity beyond 32 bits."""
+    part = F.col("order_id") % 11
+    planted = lambda name, values: reduce(lambda c, v: c.when(part == v[0], F.lit(v[1])), values[1:], F.when(part == values[0][0], F.lit(values[0][1]))).otherwise(F.col(name).cast("string"))
+    return testbed.raw_source(spark, sf_dir, "order_items").withColumns(
+        {
+            "quantity": planted("quantity", [(3, "3000000000"), (4, "123456789012345678901"), (5, "two")]),
+            "line_total": planted("line_total", [(6, "Infinity"), (7, "x1")]),
+            "line_profit": planted("line_profit", [(8, "123456789012345678901234567890")]),
+        }
+    )
+
+
+def items_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with overflows, infinities and unreadable text: what is unreadable has its default, what does not fit is NULL."""
+    cleaned = clean.clean_order_items(_items_as_text(spark, sf_dir), testbed.ORDER_BY["order_items"])
+    return result(cleaned.select("item_id", "quantity", "line_total", "line_profit"))
+
+
+def value_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of all values that cleaning could not keep, of every source."""
+    raw = testbed.raw_sources(spark, sf_dir) | {"order_items": _items_as_text(spark, sf_dir)}
+    return rejects.all_value_rejects(raw)
+
+
 def extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources in a folder: one good, one with a broken document after a good one, three that are not there."""
     folder = fresh_folder(spark, "raw")
@@ -416,7 +441,7 @@ def extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = F.concat(F.lit("["), F.to_json(F.struct(*publish(campaigns).columns)), F.lit("]"))
     documents = publish(campaigns).select(F.when(F.col("campaign_id") == 2, F.lit('[{"name": ')).otherwise(good).alias("value"))
     documents.write.option("maxRecordsPerFile", 1).text(f"{folder}/campaigns.json")
-    found, report = files.extract_all(spark, folder)
+    found, report = files.extract_all(spark, folder, Store(spark, fresh_folder(spark, "landed")))
     rows = sinks.row_counts(found).withColumnRenamed("table", "source")
     missing = F.when(F.col("status") == "read", F.col("detail")).otherwise("").alias("missing")
     return report.join(rows, "source", "left").select("source", "status", missing, "rows")
@@ -518,6 +543,8 @@ READING_WRITING: dict[str, Query] = {
     "json_records_roundtrip": json_records_roundtrip,
     "json_array_roundtrip": json_array_roundtrip,
     "campaigns_from_text": campaigns_from_text,
+    "items_from_text": items_from_text,
+    "value_rejects": value_rejects,
     "extract_report": extract_report,
     "json_contract": json_contract,
     "pipeline_reports": pipeline_reports,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesloom.config import Settings
 from salesloom.functions.numeric import publish
-from salesloom.operators import clean, fact, quality
+from salesloom.operators import clean, fact, quality, rejects
 from salesloom.plans.marts import Marts
 from salesloom.plans.reports import run_reports
 from salesloom.plans.warehouse import Warehouse
@@ -78,7 +78,8 @@ def run_etl(
 
     `csv_copies` writes every staging table once more as CSV, for inspection.
     """
-    raw, extracted = files.extract_all(spark, raw_folder)
+    # From here on everything works on the landed copy of each source.
+    raw, extracted = files.extract_all(spark, raw_folder, store, settings.single_line)
     cleaned = clean.transform_all(raw, settings)
     # Nothing counts as staged until all of this run's tables are.
     store.save(spark.createDataFrame([], MANIFEST_SCHEMA), MANIFEST)
@@ -93,6 +94,9 @@ def run_etl(
         "column_contract": column_contract(spark, raw),
         "staging_counts": counts,
     }
+    if raw:
+        set_aside = store.save(rejects.all_value_rejects(raw), "value_rejects")
+        results["value_rejects"] = rejects.value_reject_summary(set_aside)
     if staging:
         results["quality"] = quality.quality_report(staging, settings.max_null_percent)
     references = staging_references(staging)

@@ -1,13 +1,12 @@
 from datetime import date
 from decimal import Decimal
 
-import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from salesloom.config import Settings
 from salesloom.functions.dates import parse_date
-from salesloom.operators import clean
+from salesloom.operators import clean, rejects
 from salesloom.operators.dedup import keep_first, removed_duplicates
 
 AS_OF = date(2024, 1, 1)
@@ -144,8 +143,52 @@ def test_text_figures_lose_nothing(spark):
     assert (two.impressions, two.clicks, two.conversions) == (0, 0, -1)
     products = spark.createDataFrame([("P1", "1000.004", "1", "1", "c")], "product_id string, unit_price string, unit_cost string, is_active string, category string")
     assert clean.clean_products(products).first().price_band == "Mid-Range"
-    with pytest.raises(Exception):
-        clean.clean_products(products.withColumn("unit_price", F.lit("1e30"))).collect()
+    # What does not fit is set aside, and not taken for a missing price.
+    large = clean.clean_products(products.withColumn("unit_price", F.lit("1e30"))).first()
+    assert (large.unit_price, large.unit_cost, large.price_band) == (None, 1, None)
+
+
+def test_numbers_that_do_not_fit_are_null_and_never_others(spark):
+    names = "item_id string, quantity string, unit_price string, discount_pct string, discount_amt string, line_total string, line_profit string"
+    texts = [
+        ("I1", "3000000000", "1", "0", "0", "12345678901234567890.5", "-1e3"),
+        ("I2", "9223372036854775808", "inf", "0", "0", "Infinity", "1" * 30),
+        ("I3", "two", "NaN", None, "", " 7 ", "x"),
+        ("I4", "-4", "1e400", "0", "0", "-Infinity", "0.00005"),
+    ]
+    df = spark.createDataFrame(texts, names)
+    got = {r[0]: tuple(r)[1:] for r in rows(clean.clean_order_items(df).select("item_id", "quantity", "unit_price", "line_total", "line_profit"))}
+    assert got["I1"] == (3_000_000_000, 1, Decimal("12345678901234567890.5"), -1000)
+    assert got["I2"] == (None, None, None, None)
+    assert got["I3"] == (1, 0, 7, 0)
+    assert got["I4"] == (1, None, None, Decimal("0.0001"))
+    found = {tuple(r)[1:] for r in rows(rejects.value_rejects("order_items", df))}
+    out = "out of range"
+    assert found == {
+        ("I2", "quantity", "9223372036854775808", out), ("I2", "unit_price", "inf", out), ("I2", "line_total", "Infinity", out),
+        ("I2", "line_profit", "1" * 30, out), ("I3", "quantity", "two", "unreadable"), ("I3", "line_profit", "x", "unreadable"),
+        ("I4", "unit_price", "1e400", out), ("I4", "line_total", "-Infinity", out),
+    }
+
+
+def test_rejects_of_dates_counts_and_typed_columns(spark):
+    df = spark.createDataFrame(
+        [("K1", "2024-02-30", "12.7", "1e30", float("inf")), ("K2", None, "", "2", float("nan")), (None, "2024-01-01", "x", "3", 1.5)],
+        "campaign_id string, start_date string, clicks string, impressions string, spend double",
+    )
+    found = rows(rejects.value_rejects("campaigns", df).select("key", "column", "raw_text", "reason"))
+    assert sorted(found, key=str) == sorted(
+        [
+            ("K1", "start_date", "2024-02-30", "unreadable"), ("K1", "impressions", "1e30", "out of range"),
+            ("K1", "spend", "Infinity", "out of range"), (None, "clicks", "x", "unreadable"),
+        ],
+        key=str,
+    )
+    assert rows(rejects.value_rejects("campaigns", df.limit(0))) == []
+    assert sorted(rows(rejects.value_reject_summary(rejects.value_rejects("campaigns", df)))) == [
+        ("campaigns", "clicks", "unreadable", 1), ("campaigns", "impressions", "out of range", 1),
+        ("campaigns", "spend", "out of range", 1), ("campaigns", "start_date", "unreadable", 1),
+    ]
 
 
 def test_dates_with_a_time_of_day(spark):

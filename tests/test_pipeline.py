@@ -9,6 +9,7 @@ from salesloom.config import Settings
 from salesloom.plans import pipeline
 from salesloom.plans.marts import MART_NAMES, Marts
 from salesloom.session import fresh_folder, shared_root
+from salesloom.sources import files
 
 SETTINGS = Settings(as_of=date(2024, 12, 31))
 
@@ -64,7 +65,7 @@ def test_whole_run(spark, folder, raw_folder):
         "fact_sales": ("FACT", 3), "TOTAL": ("TOTAL", 738),
     }
     assert {r.reason: r.rows for r in run.reports["rejects"].collect()} == {
-        "missing_order": 0, "missing_date": 1, "missing_customer": 0, "missing_product": 0,
+        "missing_order": 0, "missing_date": 1, "missing_customer": 0, "missing_product": 0, "unusable_value": 0,
     }
     assert rows(spark.read.parquet(f"{folder}/out/fact_rejects").select("item_id")) == [("ITEM4",)]
     top = run.reports["report_topline"].first()
@@ -87,6 +88,37 @@ def test_orders_of_any_year_are_sold(spark, folder, raw_folder):
     assert spark.read.parquet(f"{folder}/out/fact_sales").filter("date_key = 20260307").count() == 1
 
 
+def test_a_value_that_does_not_fit_is_set_aside(spark, folder, raw_folder):
+    """The run goes on, line by line as well, and what was there is in `value_rejects`."""
+    path = Path(raw_folder) / "order_items.csv"
+    path.write_text(path.read_text().replace("ITEM3,ORD0000003,PROD0002,2,99,0,0,198", "ITEM3,ORD0000003,PROD0002,2,99,0,0,1" + "0" * 30))
+    settings = Settings(as_of=date(2024, 12, 31), single_line=("order_items", "customers"))
+    run = pipeline.run_pipeline(spark, raw_folder, f"{folder}/out", settings, csv_copies=False)
+    assert float(run.reports["report_topline"].first().total_revenue) == 110000
+    assert {r.reason: r.rows for r in run.reports["rejects"].collect()}["unusable_value"] == 1
+    found = rows(spark.read.parquet(f"{folder}/out/value_rejects").orderBy("source"))
+    assert found == [
+        ("order_items", "ITEM3", "line_total", "1" + "0" * 30, "out of range"), ("orders", "ORD0000004", "order_date", "bad-date", "unreadable"),
+    ]
+
+
+def test_the_raw_folder_is_read_once(spark, folder, raw_folder, monkeypatch):
+    """After a source has landed, no plan of the first phase reads its files."""
+    landed = []
+    real = files.extract_all
+
+    def extract(*args):
+        out = real(*args)
+        for path in Path(raw_folder).iterdir():
+            path.write_text("")
+        landed.append(out)
+        return out
+
+    monkeypatch.setattr(files, "extract_all", extract)
+    run = pipeline.run_pipeline(spark, raw_folder, f"{folder}/out", SETTINGS, csv_copies=False)
+    assert landed and run.reports["report_topline"].first().total_orders == 2
+
+
 def test_phases_run_one_after_the_other(spark, folder, raw_folder):
     out = f"{folder}/out"
     with pytest.raises(Exception):

@@ -8,6 +8,7 @@ from salesloom.operators import quality
 from salesloom.sources import files, sinks
 from salesloom.sources.contracts import SOURCE_FILES, column_contract
 from salesloom.sources.files import SourceError
+from salesloom.sources.store import Store
 
 CAMPAIGN = {"campaign_id": "K1", "name": "A", "type": "Email", "start_date": "2023-01-01", "end_date": "2023-02-01",
             "spend": 10.5, "impressions": 7}
@@ -55,12 +56,12 @@ def test_json_folder_of_both_shapes_keeps_every_record(spark, folder):
         files.read_json(spark, str(raw))
 
 
-def test_a_broken_later_file_is_reported(spark, folder):
+def test_a_broken_later_file_is_reported(spark, folder, store):
     raw = Path(folder) / "campaigns.json"
     raw.mkdir()
     write(raw, "1.json", json.dumps([CAMPAIGN]))
     write(raw, "2.json", '[{"campaign_id": ')
-    found, report = files.extract_all(spark, folder)
+    found, report = files.extract_all(spark, folder, store)
     assert not found and {r.status for r in report.collect()} == {"failed"}
 
 
@@ -81,10 +82,10 @@ def test_json_of_another_shape_is_rejected(spark, folder, text):
         files.read_json(spark, write(folder, "c.json", text))
 
 
-def test_extract_reports_missing_and_broken_sources(spark, folder):
+def test_extract_reports_missing_and_broken_sources(spark, folder, store):
     write(folder, "customers.csv", "customer_id,name,extra\nC1,a,b\n")
     write(folder, "campaigns.json", '[{"campaign_id": ')
-    found, report = files.extract_all(spark, folder)
+    found, report = files.extract_all(spark, folder, store)
     assert list(found) == ["customers"]
     got = {r.source: (r.status, r.detail) for r in report.collect()}
     assert set(got) == set(SOURCE_FILES)
@@ -92,6 +93,46 @@ def test_extract_reports_missing_and_broken_sources(spark, folder):
     assert all(got[s][0] == "failed" for s in SOURCE_FILES if s != "customers")
 
 
+def test_sources_are_read_once(spark, folder, tmp_path_factory):
+    """What was landed stays whole when the raw files are gone: nothing reads them again."""
+    write(folder, "orders.csv", 'order_id,customer_id,order_date,status,order_total\nO1,C1,2024-01-01,"a\nb",5\nO2,C1,NA,x,1e3\n')
+    nested = [CAMPAIGN, {**CAMPAIGN, "campaign_id": "K2", "goal": {"a": [1, 2.50]}}]
+    write(folder, "campaigns.json", json.dumps(nested))
+    store = Store(spark, str(tmp_path_factory.mktemp("landed")))
+    found, _ = files.extract_all(spark, folder, store)
+    for name in ("orders.csv", "campaigns.json"):
+        write(folder, name, "")
+    assert sorted(rows(found["orders"])) == [("O1", "C1", "2024-01-01", "a\nb", "5"), ("O2", "C1", None, "x", "1e3")]
+    assert sorted(rows(found["campaigns"].select("campaign_id", "spend", "goal"))) == [("K1", "10.5", None), ("K2", "10.5", '{"a":[1,2.5]}')]
+    assert set(found["campaigns"].dtypes) == {(c, "string") for c in (*CAMPAIGN, "goal")}
+    assert all(folder not in str(df.inputFiles()) for df in found.values())
+
+
+def test_single_line_sources_are_split_and_checked(spark, folder, store):
+    head = "order_id,customer_id,order_date,status,order_total\n"
+    lines = "".join(f'O{i},"C, ""{i}""",2024-01-01,x,{i}\n' for i in range(20_000))
+    write(folder, "orders.csv", head + lines)
+    write(folder, "customers.csv", 'customer_id,name\nC1,"a\nb"\n')
+    products = Path(folder) / "products.csv"
+    products.mkdir()
+    write(products, "1.csv", "product_id,name\nP1,a\n\nP2,NA\n")
+    write(products, "2.csv", "name,product_id\na,P3\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        found, report = files.extract_all(spark, folder, store, ("orders", "customers", "products"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found["orders"].inputFiles()) > 4 and found["orders"].count() == 20_000
+    assert found["orders"].filter("order_id = 'O7'").first()[:2] == ("O7", 'C, "7"')
+    assert sorted(rows(found["orders"])) == sorted(rows(files.read_csv(spark, f"{folder}/orders.csv")))
+    detail = {r.source: (r.status, r.detail) for r in report.collect()}
+    assert list(found) == ["orders"]
+    assert "line breaks in values" in detail["customers"][1] and "2 files with 1 headers" in detail["products"][1]
+    write(products, "2.csv", "product_id,name\nP3,\n")
+    assert sorted(rows(files.land_csv_lines(spark, str(products), store, "again"))) == [("P1", "a"), ("P2", None), ("P3", None)]
+
+
 def test_column_contract(spark):
     df = spark.createDataFrame([("P1", "x")], "product_id string, colour string")
     got = {(c, s) for _, c, s in rows(column_contract(spark, {"products": df}))}

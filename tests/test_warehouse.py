@@ -93,6 +93,23 @@ def star(spark, store):
     }
 
 
+def test_lines_that_are_no_money_are_rejected_and_the_rest_goes_on(spark, star):
+    lines = {k: star[k] for k in ("items", "orders", "dim_date", "dim_customer", "dim_product")}
+    more = spark.sql(
+        "SELECT * FROM VALUES ('B1', 'O1', 'P1', NULL, 1.00BD, 0.00BD, 0.00BD, 1.00BD), ('B2', 'O1', 'P1', 1, 1.00BD, 0.00BD, 0.00BD, NULL), "
+        "('B3', 'O1', 'P1', 1, 12345678901234567890.00BD, 0.00BD, 0.00BD, 1.00BD), ('B4', 'O1', 'P1', 9000000000000000000L, 1.00BD, 0.00BD, 0.00BD, 1.00BD), "
+        "('G1', 'O1', 'P1', 3000000000L, 1.00BD, 0.00BD, 0.00BD, 1.00BD) "
+        "AS t(item_id, order_id, product_id, quantity, unit_price, discount_pct, discount_amt, line_total)"
+    )
+    items = star["items"].unionByName(more)
+    got = {r.item_id: r for r in fact.build_fact(**{**star, "items": items}).collect()}
+    assert sorted(got) == ["G1", "I1", "I2", "I3", "I8"]
+    assert (got["G1"].quantity, got["G1"].line_cost) == (3_000_000_000, 180_000_000_000)
+    rejected = fact.fact_rejects(**{**lines, "items": items})
+    assert sorted(rows(rejected.filter("unusable_value = 1").select("item_id"))) == [("B1",), ("B2",), ("B3",), ("B4",)]
+    assert rejected.count() + len(got) == items.count()
+
+
 def test_fact_measures(star):
     got = {r.item_id: r for r in fact.build_fact(**star).collect()}
     assert sorted(got) == ["I1", "I2", "I3", "I8"]
@@ -112,7 +129,7 @@ def test_rejects_and_fact_share_out_all_lines(star):
     lines = {k: v for k, v in star.items() if k != "dim_campaign"}
     got = {r[0]: r[3:] for r in rows(fact.fact_rejects(**lines))}
     assert got == {
-        "I4": (1, 0, 0, 0), "I5": (0, 0, 0, 1), "I6": (0, 0, 1, 0), "I7": (0, 1, 0, 0), "I9": (1, 0, 0, 0),
+        "I4": (1, 0, 0, 0, 0), "I5": (0, 0, 0, 1, 0), "I6": (0, 0, 1, 0, 0), "I7": (0, 1, 0, 0, 0), "I9": (1, 0, 0, 0, 0),
     }
     built = fact.build_fact(**star)
     assert sorted(list(got) + [r[0] for r in rows(built.select("item_id"))]) == [f"I{i}" for i in range(1, 10)]
@@ -122,7 +139,7 @@ def test_reject_summary_has_every_reason(spark, star):
     lines = {k: v for k, v in star.items() if k != "dim_campaign"}
     rejects = fact.fact_rejects(**lines)
     assert dict(rows(fact.reject_summary(rejects))) == {
-        "missing_order": 2, "missing_date": 1, "missing_customer": 1, "missing_product": 1,
+        "missing_order": 2, "missing_date": 1, "missing_customer": 1, "missing_product": 1, "unusable_value": 0,
     }
     assert dict(rows(fact.reject_summary(rejects.limit(0)))) == dict.fromkeys(fact.REJECT_REASONS, 0)
 
