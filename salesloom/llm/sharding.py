@@ -2,10 +2,12 @@
 
 Documents of equal text form a group that is never cut. Groups are ordered by a hash of their text,
 and cut into contiguous shards whose largest is as small as possible: a binary search over the
-capacity, checked greedily. The sizes stay in Spark. The driver sees a histogram over ranges of
-the hash; cuts can only fall into a few of these ranges, which are counted again in finer
-ranges until every one that a cut could fall into holds a single group. The result is the exact
-optimum over all groups, from a few thousand numbers at a time whatever the data's size is.
+capacity, checked greedily. The sizes stay in Spark. The driver sees a histogram over 4,096 ranges of
+the hash. If ranges of several groups could be cut anywhere, the least capacity would be a lower bound, as is the
+largest group; those ranges that its cuts fall into, one a shard at most, are counted again in 64 finer
+ranges each, until no cut falls within a range of several groups. Then the bound is a partition of whole groups, and the
+optimum. So a round collects 64 rows a shard at most, whatever the data's size and its groups', and there are few
+rounds for each level of the hash that it takes to tell two groups apart.
 
 Places within a shard come from a range partitioning, written once, and one offset per task and
 shard. Defined cases: a NULL text counts as empty; repeated rows are documents of their own in
@@ -49,40 +51,61 @@ def smallest_capacity(sizes: np.ndarray, shards: int) -> int:
     return low
 
 
-def _histogram(groups: DataFrame, bits: int, within: list[int] | None, coarser: int) -> list[tuple[int, int, int]]:
-    """(range, bytes, groups) of the ranges named by the first bits, within some coarser ranges."""
-    rows = groups if within is None else groups.filter(F.shiftright("key", ALL_BITS - coarser).isin(within))
-    counted = rows.groupBy(F.shiftright("key", ALL_BITS - bits).alias("range")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
-    return sorted((r["range"], r["bytes"], r["n"]) for r in counted.collect())
+#: A range of keys: the first key, bytes, groups, and the bits that name it.
+Cell = tuple[int, int, int, int]
+
+
+def _histogram(groups: DataFrame, cells: list[Cell], bits: int) -> list[Cell]:
+    """The finer ranges of some cells, by so many more bits; a row for each that has groups."""
+    cell, place = F.lit(None).cast("int"), F.lit(None).cast("bigint")
+    for i, (first, _, _, own) in enumerate(cells):
+        inside = F.shiftright("key", ALL_BITS - own) == F.lit(first >> (ALL_BITS - own)) if own else F.lit(True)
+        cell = F.when(inside, F.lit(i)).otherwise(cell)
+        place = F.when(inside, F.shiftright("key", ALL_BITS - min(ALL_BITS, own + bits))).otherwise(place)
+    counted = groups.select(cell.alias("cell"), place.alias("range"), "bytes").filter("cell IS NOT NULL")
+    rows = counted.groupBy("cell", "range").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")).collect()
+    named = [(r["range"], min(ALL_BITS, cells[r["cell"]][3] + bits), r["bytes"], r["n"]) for r in rows]
+    return [(place << (ALL_BITS - own), size, n, own) for place, own, size, n in named]
+
+
+def relaxed_cuts(ends: np.ndarray, whole: np.ndarray, shards: int, capacity: int) -> list[tuple[int, bool]] | None:
+    """Where greedy shards end if all cells but the `whole` ones can be cut anywhere, as (cell, whether within it); None if
+    the shards do not hold all cells."""
+    cuts, done = [], 0
+    for _ in range(shards):
+        at = int(np.searchsorted(ends, done + capacity, side="right"))
+        if at == len(ends):
+            return cuts
+        start = int(ends[at - 1]) if at else 0
+        inside = not whole[at] and done + capacity > start
+        done = done + capacity if inside else start
+        cuts.append((at, inside))
+    return None
 
 
 def cut_keys(groups: DataFrame, shards: int) -> tuple[list[int], int]:
     """The first key of each shard but the first, and the capacity. `groups` has (key, bytes), a row per group."""
-    bits = FIRST_BITS
-    # A cell is a range of keys: (first key, bytes, groups, bits that name it).
-    cells = [(r << (ALL_BITS - bits), b, n, bits) for r, b, n in _histogram(groups, bits, None, bits)]
-    if not cells:
+    largest = groups.agg(F.max("bytes")).first()[0]
+    if largest is None:
         return [], 0
+    cells = sorted(_histogram(groups, [(0, 0, 0, 0)], FIRST_BITS))
     while True:
-        sizes = np.array([c[1] for c in cells], np.int64)
-        ends = np.cumsum(sizes)
-        high = smallest_capacity(sizes, shards)
-        # Whole cells can be cut no better than single groups, and no group division beats an even one.
-        least = -(-int(ends[-1]) // shards)
-        low_cuts = greedy_cuts(ends, shards, least)
-        open_cells = set()
-        for j, first in enumerate(low_cuts[:-1], 1):
-            last = int(np.searchsorted(ends, j * high, side="left"))
-            open_cells.update(i for i in range(first, min(last, len(cells) - 1) + 1) if cells[i][2] > 1 and cells[i][3] < ALL_BITS)
-        if not open_cells:
-            cuts = greedy_cuts(ends, shards, high)[:-1]
-            return [cells[c][0] if c < len(cells) else None for c in cuts], high
-        finer = []
-        for own_bits in sorted({cells[i][3] for i in open_cells}):
-            within = [cells[i][0] >> (ALL_BITS - own_bits) for i in open_cells if cells[i][3] == own_bits]
-            bits = min(ALL_BITS, own_bits + MORE_BITS)
-            finer += [(r << (ALL_BITS - bits), b, n, bits) for r, b, n in _histogram(groups, bits, within, own_bits)]
-        cells = sorted([c for i, c in enumerate(cells) if i not in open_cells] + finer)
+        ends = np.cumsum(np.array([c[1] for c in cells], np.int64))
+        whole = np.array([c[2] == 1 or c[3] == ALL_BITS for c in cells])
+        low, high = max(int(largest), -(-int(ends[-1]) // shards)), int(ends[-1])
+        while low < high:
+            middle = (low + high) // 2
+            if relaxed_cuts(ends, whole, shards, middle) is None:
+                low = middle + 1
+            else:
+                high = middle
+        cuts = relaxed_cuts(ends, whole, shards, low)
+        within = sorted({at for at, inside in cuts if inside})
+        if not within:
+            keys = [cells[at][0] for at, _ in cuts]
+            return keys + [None] * (shards - 1 - len(keys)), low
+        finer = _histogram(groups, [cells[i] for i in within], MORE_BITS)
+        cells = sorted([c for i, c in enumerate(cells) if i not in set(within)] + finer)
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 16, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
