@@ -11,7 +11,8 @@ Skew: counts are pre-aggregated before each shuffle, and the frequent lines of a
 (mean lines of its texts) / share many, so a host's list is small however large the host is.
 
 Defined cases: a NULL text has no words and fails the base rule; a NULL host is the host ''; repeated rows are
-judged one by one and count as one text; columns with other names pass through untouched.
+judged one by one and count as one text; an empty table gives no rows; a very long text is one row like any other, its lines
+as hashes; columns with other names pass through untouched.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 @dataclass(frozen=True)
 class Limits:
     """`line_share`: a line of more than this share of a host's texts is boilerplate, if at least
-    `line_texts` texts have it. It lies above a third, the share a group of near copies may have.
+    `line_texts` texts have it.
     A document is depleted if under `least_words` words or under `least_percent` of them remain.
     `spare_copies`: texts that the lines above the limit would deplete are near copies, and no evidence of boilerplate."""
 
@@ -42,8 +43,9 @@ class Limits:
     spare_copies: bool = False
 
 
-# What the corpus pipeline strips. The report keeps the limits of its SQL counterpart.
+# What the corpus pipeline strips, and what the report judges by: there a line of few texts counts as well, as hosts may be small.
 BOILERPLATE = Limits(line_share=0.03, spare_copies=True)
+REPORTED = Limits(line_share=0.03, line_texts=5, spare_copies=True)
 
 
 def _measured(docs: DataFrame, text: Column, host: Column) -> DataFrame:
@@ -173,7 +175,8 @@ def apply_quality(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
 
 
 def quality_report(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
+    """The base figures and the verdict of every document, and the words of its lines that are boilerplate of its host."""
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
-    return judge_quality(docs.select("doc_id", "text", "source"), limits=limits).select(
+    return judge_quality(docs.select("doc_id", "text", "source"), limits=limits or REPORTED).select(
         "doc_id", *[F.col(f"_q_{name}").alias(name) for name in names]
     )

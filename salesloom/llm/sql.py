@@ -41,11 +41,20 @@ WITH d AS (
   SELECT doc_id, host, text, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))) AS line,
     len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n
   FROM (SELECT doc_id, host, text, unnest(ls) AS l FROM w)
+), texts AS (
+  SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host
 ), often AS (
   SELECT l.host, l.line FROM (SELECT host, line, count(DISTINCT text) AS n FROM lines GROUP BY ALL) l
-  JOIN (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host) t ON l.host = t.host WHERE l.n >= 20 AND l.n > 0.4 * t.n
+  JOIN texts t ON l.host = t.host WHERE l.n >= 5 AND l.n > 0.03 * t.n
+), spared AS (
+  SELECT w.doc_id FROM w JOIN (SELECT doc_id, sum(n) AS n FROM lines SEMI JOIN often USING (host, line) GROUP BY doc_id) x USING (doc_id)
+  WHERE len(ws) - x.n >= 10 AND 100 * (len(ws) - x.n) >= 30 * len(ws)
+), boilerplate AS (
+  SELECT l.host, l.line FROM (
+    SELECT host, line, count(DISTINCT text) AS n FROM lines SEMI JOIN spared USING (doc_id) SEMI JOIN often USING (host, line) GROUP BY ALL) l
+  JOIN texts t ON l.host = t.host WHERE l.n >= 5 AND l.n > 0.03 * t.n
 ), removed AS (
-  SELECT doc_id, sum(n) AS n FROM lines SEMI JOIN often USING (host, line) GROUP BY doc_id
+  SELECT doc_id, sum(n) AS n FROM lines SEMI JOIN boilerplate USING (host, line) GROUP BY doc_id
 ), figures AS (
   SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,

@@ -274,6 +274,27 @@ def test_cuts_over_ranges_equal_cuts_over_groups(spark, monkeypatch):
         assert sharding.smallest_capacity(small, 3) == brute.smallest_capacity(small.tolist(), 3)
 
 
+@pytest.mark.parametrize("share", [0, 0.05, 0.063, 0.5])
+def test_the_driver_sees_few_numbers_however_large_a_group_is(spark, monkeypatch, share):
+    generator, collected, real = np.random.default_rng(4), [], sharding._histogram
+    keys = np.sort(generator.integers(-(2**63), 2**63, 200_000, dtype=np.int64))
+    sizes = generator.integers(1, 4000, len(keys))
+    if share:
+        sizes[generator.integers(len(sizes))] = int(share / (1 - share) * sizes.sum())
+    monkeypatch.setattr(sharding, "_histogram", lambda *a: [collected.append(len(out := real(*a))), out][1])
+    df = spark.createDataFrame(pa.table({"key": keys, "bytes": sizes}))
+    cuts, capacity = sharding.cut_keys(df, 16)
+    assert capacity == sharding.smallest_capacity(sizes, 16) and sum(collected) < 20_000
+    inner = [0, *[np.searchsorted(keys, c) if c is not None else len(keys) for c in cuts], len(keys)]
+    assert len(cuts) == 15 and max(sizes[a:b].sum() for a, b in zip(inner, inner[1:])) <= capacity
+
+
+def test_shards_of_repeated_rows(repeated):
+    found = rows_of(sharding.sharding_report(repeated, 3))
+    assert len(found) == 2 * len(TEXTS) + 1 and len({(r["text_crc32"], r["shard"]) for r in found}) == len({r["text_crc32"] for r in found})
+    assert all(sorted(r["slot"] for r in own) == list(range(len(own))) for own in brute.by_shard(found, "shard").values())
+
+
 # Quality
 
 
@@ -309,6 +330,24 @@ def test_boilerplate_of_few_per_cent_goes_and_near_copies_stay(spark):
     assert all(cleaned[i]["text"] == own(i) for i in range(30)) and all(cleaned[1000 + i]["text"] == copy(i) for i in range(200))
 
 
+def test_the_report_removes_lines_of_the_test_table(spark):
+    """The limits of the registered query act, on small hosts as well, and against documents that the base rule keeps."""
+    found = quality_rules.quality_report(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")).collect()
+    assert sum(r["removed_words"] for r in found) > 0
+    assert all(r["kept"] == (not r["base_failed"] and 10 <= (left := r["n_words"] - r["removed_words"]) and 100 * left >= 30 * r["n_words"]) for r in found)
+
+
+def test_a_document_of_boilerplate_is_rejected_and_near_copies_are_spared(spark):
+    menu = "Home about us contact imprint and many more words here to read"
+    own = lambda i: " ".join(f"own{i}w{j}" for j in range(12))
+    copy = lambda i: "\n".join(f"{own(9000 + k)}" for k in range(4)) + f"\nedit{i}"
+    rows = [(i, f"{menu}\n{own(i)}", "a") for i in range(8)] + [(100, menu, "a")] + [(200 + i, copy(i), "a") for i in range(9)] * 2
+    found = rows_of(quality_rules.quality_report(spark.createDataFrame(rows, "doc_id int, text string, source string")))
+    kept = {r["doc_id"]: (r["base_failed"], r["kept"], r["removed_words"]) for r in found}
+    assert len(found) == len(rows) and all(kept[i] == (False, True, 12) for i in range(8))
+    assert kept[100] == (False, False, 12) and all(kept[200 + i] == (False, True, 0) for i in range(9))
+
+
 # Language model
 
 
