@@ -755,10 +755,10 @@ FINAL = {
         "FROM (SELECT *, CAST(order_id AS BIGINT) AS part FROM items)"
     ),
     "value_rejects": (
-        "WITH r AS (SELECT item_id AS key, l_orderkey % 11 AS part FROM (SELECT l_orderkey || '-' || l_linenumber AS item_id, * FROM lineitem)), "
-        "bad(part, \"column\", raw_text, reason) AS (VALUES (4, 'quantity', '123456789012345678901', 'out of range'), (5, 'quantity', 'two', 'unreadable'), "
-        "(6, 'line_total', 'Infinity', 'out of range'), (7, 'line_total', 'x1', 'unreadable'), (8, 'line_profit', '123456789012345678901234567890', 'out of range')) "
-        "SELECT 'order_items' AS source, key, \"column\", raw_text, reason FROM r JOIN bad USING (part) UNION ALL "
+        "SELECT 'order_items' AS source, l_orderkey || '-' || l_linenumber AS key, \"column\", raw_text, reason FROM lineitem "
+        "JOIN (VALUES (4, 'quantity', '123456789012345678901', 'out of range'), (5, 'quantity', 'two', 'unreadable'), "
+        "(6, 'line_total', 'Infinity', 'out of range'), (7, 'line_total', 'x1', 'unreadable'), "
+        "(8, 'line_profit', '123456789012345678901234567890', 'out of range')) AS bad(part, \"column\", raw_text, reason) ON l_orderkey % 11 = part UNION ALL "
         "SELECT 'customers', CAST(customer_id AS VARCHAR), 'joined_date', joined_date, 'unreadable' FROM raw_customers WHERE joined_date = '1993-02-31' UNION ALL "
         "SELECT 'orders', CAST(o_orderkey AS VARCHAR), 'order_date', 'unknown', 'unreadable' FROM orders WHERE o_orderkey % 101 = 0"
     ),
