@@ -16,7 +16,7 @@ from salesloom.plans.reports import run_reports
 from salesloom.plans.warehouse import Warehouse
 from salesloom.sources import files, sinks
 from salesloom.sources.contracts import STAGING_TABLES, column_contract
-from salesloom.sources.store import Store
+from salesloom.sources.store import Store, VersionedStore
 
 log = logging.getLogger(__name__)
 
@@ -138,7 +138,7 @@ def run_pipeline(
     if only is not None and only not in PHASES:
         raise ValueError(f"unknown phase {only!r}, expected one of {PHASES}")
     settings = settings or Settings()
-    store = Store(spark, out_folder)
+    store = VersionedStore(spark, out_folder)
     run, start = Run(), time.monotonic()
     try:
         if only in (None, "etl"):

@@ -10,6 +10,7 @@ from salesloom.plans import pipeline
 from salesloom.plans.marts import MART_NAMES, Marts
 from salesloom.session import fresh_folder, shared_root
 from salesloom.sources import files
+from salesloom.sources.store import VersionedStore
 
 SETTINGS = Settings(as_of=date(2024, 12, 31))
 
@@ -67,7 +68,7 @@ def test_whole_run(spark, folder, raw_folder):
     assert {r.reason: r.rows for r in run.reports["rejects"].collect()} == {
         "missing_order": 0, "missing_date": 1, "missing_customer": 0, "missing_product": 0, "unusable_value": 0,
     }
-    assert rows(spark.read.parquet(f"{folder}/out/fact_rejects").select("item_id")) == [("ITEM4",)]
+    assert rows(VersionedStore(spark, f"{folder}/out").load("fact_rejects").select("item_id")) == [("ITEM4",)]
     top = run.reports["report_topline"].first()
     assert (top.total_orders, top.unique_customers, float(top.total_revenue), float(top.total_profit)) == (2, 2, 110198, 50098)
     assert rows(spark.sql("SELECT year, total_revenue FROM vw_monthly_revenue ORDER BY year")) == [(2022, 110000.0), (2023, 198.0)]
@@ -85,7 +86,7 @@ def test_orders_of_any_year_are_sold(spark, folder, raw_folder):
     path.write_text(path.read_text().replace("2023-03-07", "2026-03-07 18:30:00"))
     run = pipeline.run_pipeline(spark, raw_folder, f"{folder}/out", SETTINGS, csv_copies=False)
     assert {r.year: float(r.revenue) for r in run.reports["report_by_year"].collect()} == {2022: 110000, 2026: 198}
-    assert spark.read.parquet(f"{folder}/out/fact_sales").filter("date_key = 20260307").count() == 1
+    assert VersionedStore(spark, f"{folder}/out").load("fact_sales").filter("date_key = 20260307").count() == 1
 
 
 def test_a_value_that_does_not_fit_is_set_aside(spark, folder, raw_folder):
@@ -96,7 +97,7 @@ def test_a_value_that_does_not_fit_is_set_aside(spark, folder, raw_folder):
     run = pipeline.run_pipeline(spark, raw_folder, f"{folder}/out", settings, csv_copies=False)
     assert float(run.reports["report_topline"].first().total_revenue) == 110000
     assert {r.reason: r.rows for r in run.reports["rejects"].collect()}["unusable_value"] == 1
-    found = rows(spark.read.parquet(f"{folder}/out/value_rejects").orderBy("source"))
+    found = rows(VersionedStore(spark, f"{folder}/out").load("value_rejects").orderBy("source"))
     assert found == [
         ("order_items", "ITEM3", "line_total", "1" + "0" * 30, "out of range"), ("orders", "ORD0000004", "order_date", "bad-date", "unreadable"),
     ]

@@ -8,7 +8,7 @@ from salesloom.operators import quality
 from salesloom.sources import files, sinks
 from salesloom.sources.contracts import SOURCE_FILES, column_contract
 from salesloom.sources.files import SourceError
-from salesloom.sources.store import Store
+from salesloom.sources.store import Store, VersionedStore
 
 CAMPAIGN = {"campaign_id": "K1", "name": "A", "type": "Email", "start_date": "2023-01-01", "end_date": "2023-02-01",
             "spend": 10.5, "impressions": 7}
@@ -201,6 +201,22 @@ def test_table_existence(spark, store):
     assert store.exists("t")
 
 
+def test_a_failed_write_leaves_the_last_table(spark, folder):
+    store = VersionedStore(spark, folder)
+    assert not store.exists("t") and store.current("t") is None
+    with pytest.raises(LookupError):
+        store.load("t")
+    first = store.save(spark.range(3).toDF("id"), "t")
+    broken = spark.range(5).selectExpr("IF(id = 4, raise_error('lost'), id) AS id")
+    with pytest.raises(Exception, match="lost"):
+        store.save(broken.repartition(5), "t")
+    assert sorted(rows(store.load("t"))) == [(0,), (1,), (2,)]
+    store.save(spark.range(7).selectExpr("id", "CAST(id % 2 AS INT) AS year"), "t", ["year"])
+    assert store.load("t").count() == 7 and first.count() == 3  # who reads the old one goes on
+    store.save(store.load("t").filter("id < 2"), "t")  # a table can be made of itself
+    assert store.load("t").count() == 2 and VersionedStore(spark, folder).exists("t")
+
+
 def test_a_partitioned_table_without_rows_can_be_read(spark, store):
     empty = spark.range(0).selectExpr("id", "CAST(id AS INT) AS year")
     saved = store.save(empty, "t", ["year"])
