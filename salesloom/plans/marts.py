@@ -51,10 +51,12 @@ def _line_sums() -> list[Column]:
 
 
 def per_key(lines: DataFrame, key: str) -> DataFrame:
-    """Lines to one row per product or campaign: per order, then per customer, then in all."""
-    # One shuffle of the lines, by key and customer, serves both of the first two steps.
-    dealt = lines.repartition(key, "customer_key")
-    orders = dealt.groupBy(key, "order_id", "customer_key").agg(*_line_sums())
+    """Lines to one row per product or campaign: per order, then per customer, then in all.
+
+    The lines are dealt out by order, so a product that one customer buys all the time goes to all tasks; its orders are
+    summed up there before they meet by customer, as a row per task.
+    """
+    orders = lines.repartition(key, "order_id").groupBy(key, "order_id", "customer_key").agg(*_line_sums())
     return per_group(per_customer(orders, [key]), [key])
 
 

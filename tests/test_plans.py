@@ -75,6 +75,24 @@ def test_distinct_counts_with_a_hot_product(spark):
     assert got == {r[0]: (r[1], r[2], r[3]) for r in plain.collect()}
 
 
+def test_a_hot_product_of_a_hot_customer_is_dealt_out(spark):
+    """A third of all lines are of one product and one customer: no partition of any step has twice the median's rows."""
+    lines = spark.range(0, 60_000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, 1L, id % 997) AS product_key", "CONCAT('O', id) AS order_id", "IF(id % 3 = 0, 1L, id % 991) AS customer_key",
+        "1 AS quantity", "1.00BD AS line_revenue", "0.50BD AS line_profit", "50.0BD AS line_margin_pct",
+    )
+    found = marts.per_key(lines, "product_key")
+    got = {r.product_key: (r.orders, r.customers, r.line_items) for r in found.collect()}
+    plain = lines.groupBy("product_key").agg(F.count_distinct("order_id"), F.count_distinct("customer_key"), F.count("*"))
+    assert got == {r[0]: (r[1], r[2], r[3]) for r in plain.collect()}
+    dealt = [line for line in plan_of(found).splitlines() if "hashpartitioning(" in line]
+    assert {("order_id" in d, "customer_key" in d) for d in dealt} == {(True, False), (False, True), (False, False)}
+    orders = lines.repartition(8, "product_key", "order_id").groupBy("product_key", "order_id", "customer_key").count()
+    by_task = orders.groupBy(F.spark_partition_id().alias("task"))
+    sizes = sorted(r[1] for r in by_task.count().collect())
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
 def test_skewed_join_is_split_at_run_time(spark):
     """With thresholds at test size, the fact's kind of join splits the hot partition."""
     settings = {
