@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -111,6 +112,17 @@ def build_fact(
     )
 
 
+def lines_of_day(fact: DataFrame, dim_date: DataFrame, day: date) -> DataFrame:
+    """The fact lines of one calendar day, with the day's attributes.
+
+    The calendar's row for the day is known only when the query runs; its year then prunes the fact's partitions
+    before they are read.
+    """
+    that_day = dim_date.filter(F.col("full_date") == F.lit(day)).select("date_key", F.col("year").alias("order_year"), "day_name", "is_weekend")
+    columns = ("date_key", "day_name", "is_weekend", "order_id", "item_id", "product_key", "customer_key", "is_revenue", "line_revenue", "line_profit")
+    return fact.join(that_day, ["date_key", "order_year"]).select(*columns)
+
+
 def fact_rejects(
     items: DataFrame, orders: DataFrame, dim_date: DataFrame, dim_customer: DataFrame, dim_product: DataFrame
 ) -> DataFrame:

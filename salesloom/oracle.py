@@ -621,6 +621,10 @@ FINAL = {
         "SUM(line_revenue)::DOUBLE AS revenue, SUM(line_profit)::DOUBLE AS profit, SUM(line_margin_pct)::DOUBLE AS margin_sum "
         "FROM fact WHERE is_revenue = 1 GROUP BY ALL"
     ),
+    "lines_of_day": (
+        "SELECT date_key, day_name, is_weekend, order_id, item_id, product_key, customer_key, is_revenue, line_revenue::DOUBLE AS line_revenue, "
+        "line_profit::DOUBLE AS line_profit FROM fact JOIN dim_date USING (date_key) WHERE full_date = DATE '1997-06-16'"
+    ),
     "fact_rejects": _REJECTED,
     "reject_summary": " UNION ALL ".join(
         f"SELECT '{r}' AS reason, CAST(COALESCE(SUM({r}), 0) AS BIGINT) AS rows FROM ({_REJECTED})"
@@ -722,7 +726,11 @@ FINAL = {
             ("orders sold", "(SELECT DISTINCT order_id FROM sales)", "SELECT COUNT(DISTINCT order_id) FROM sales"),
         )
     ),
-    "sorted_products": "SELECT CAST(0 AS BIGINT) AS inversions, COUNT(*) AS rows FROM top_products",
+    "sorted_products": " UNION ALL ".join(
+        f"SELECT '{m}' AS measure, COUNT(*) FILTER (v > before) AS inversions, COUNT(*) AS rows FROM "
+        f"(SELECT {m} AS v, lag({m}) OVER (ORDER BY total_revenue DESC, product_id) AS before FROM top_products)"
+        for m in ("total_revenue", "total_units_sold")
+    ),
     "order_date_range": "SELECT MIN(order_date) AS first, MAX(order_date) AS last FROM clean_orders",
     "headline_sanity": _violations(
         "kpi_cards", "topline",

@@ -7,6 +7,7 @@ folder when a query first needs them and read from then on.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -207,6 +208,7 @@ WAREHOUSE: dict[str, Query] = {
     "fact_rejects": _on_warehouse(lambda w: w.fact_rejects),
     "reject_summary": _on_warehouse(lambda w: fact.reject_summary(w.fact_rejects)),
     "fact_summary": _on_warehouse(lambda w: fact.fact_summary(w.fact_sales)),
+    "lines_of_day": _on_warehouse(lambda w: fact.lines_of_day(w.fact_sales, w.dim_date, date(1997, 6, 16))),
     "warehouse_counts": _on_warehouse(lambda w: pipeline.warehouse_summary(w.tables())),
     "campaign_attribution": _on_warehouse(
         lambda w: w.fact_sales.filter("campaign_key IS NOT NULL").select("item_id", "campaign_key")
@@ -321,9 +323,16 @@ def _date_parse_report(raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def _sorted_products(m: Marts) -> DataFrame:
+    """Rises from one product to the next: none of the revenue that the mart is sorted by, and many of the units that it is not."""
     products = m["top_products"]
     rows = products.agg(F.count(F.lit(1))).scalar()
-    return quality.order_inversions(products, "total_revenue").withColumn("rows", rows)
+    ordered = {"total_revenue": products, "total_units_sold": products.orderBy(F.desc("total_revenue"), "product_id")}
+    return _union(
+        [
+            quality.order_inversions(df, measure).select(F.lit(measure).alias("measure"), "inversions", rows.alias("rows"))
+            for measure, df in ordered.items()
+        ]
+    )
 
 
 QUALITY: dict[str, Query] = {

@@ -1,10 +1,12 @@
 """What the physical plans must look like, and that hot keys do not change results."""
 
+from datetime import date
+
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from salesloom.operators import clean, quality
+from salesloom.operators import clean, fact, quality
 from salesloom.operators.dedup import keep_first
 from salesloom.plans import marts, reports
 from salesloom.plans.marts import MART_NAMES, Marts
@@ -93,6 +95,14 @@ def test_a_hot_product_of_a_hot_customer_is_dealt_out(spark):
     assert sizes[-1] < 2 * sizes[len(sizes) // 2]
 
 
+def test_a_day_prunes_the_years_of_the_fact(spark, sample):
+    day = sample.fact_sales.join(sample.dim_date, "date_key").agg(F.min("full_date")).first()[0]
+    found = fact.lines_of_day(sample.fact_sales, sample.dim_date, day)
+    expected = sample.fact_sales.join(sample.dim_date, "date_key").filter(F.col("full_date") == F.lit(day))
+    assert sorted(r.item_id for r in found.collect()) == sorted(r.item_id for r in expected.collect()) != []
+    assert "dynamicpruning" in plan_of(found) and rows(fact.lines_of_day(sample.fact_sales, sample.dim_date, date(1900, 1, 1))) == []
+
+
 def test_skewed_join_is_split_at_run_time(spark):
     """With thresholds at test size, the fact's kind of join splits the hot partition."""
     settings = {
