@@ -787,15 +787,16 @@ FINAL = {
     ),
     "json_records": f"SELECT * REPLACE ({_doubles('total_revenue', 'total_profit', 'avg_margin_pct', 'avg_order_value')}) FROM channel_performance",
     "staging_load_counts": _count_rows("table", STAGED),
-    "mart_csv_export": _count_rows(
-        "mart",
-        {
-            m: m
-            for m in (
-                "monthly_revenue", "revenue_by_region", "revenue_by_segment", "top_products", "category_performance",
-                "campaign_roi", "customer_ltv", "cohort_monthly", "channel_performance", "yoy_comparison",
-            )
-        },
+    "mart_csv_export": " UNION ALL ".join(
+        f"SELECT '{m}' AS mart, COUNT(*) AS rows, CAST(SUM(CAST('0x' || substr(md5(concat_ws('|', {keys})), 1, 8) AS BIGINT)) AS BIGINT) AS keys_digest, "
+        f"CAST(SUM(CAST({measure} AS DECIMAL(28,2))) AS DOUBLE) AS measure_sum FROM {m}"
+        for m, keys, measure in (
+            ("monthly_revenue", "year_month", "total_revenue"), ("revenue_by_region", "region, year", "total_revenue"),
+            ("revenue_by_segment", "segment, year", "total_revenue"), ("top_products", "product_id", "total_revenue"),
+            ("category_performance", "category, year", "total_revenue"), ("campaign_roi", "campaign_id", "attributed_revenue"),
+            ("customer_ltv", "customer_id", "total_revenue"), ("cohort_monthly", "cohort_month, activity_month", "cohort_revenue"),
+            ("channel_performance", "channel, year", "total_revenue"), ("yoy_comparison", "month, month_name", "revenue_1999"),
+        )
     ),
     "column_contract": _contract(),
     "scan_profile": " UNION ALL ".join(

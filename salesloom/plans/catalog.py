@@ -33,6 +33,20 @@ MART_COLUMNS = {
     "customer_ltv": ("customer_id", "ltv_tier", "total_revenue"),
 }
 
+# Of each exported mart the columns that name a row, and a measure.
+EXPORTED = {
+    "monthly_revenue": ("year_month", "total_revenue"),
+    "revenue_by_region": ("region", "year", "total_revenue"),
+    "revenue_by_segment": ("segment", "year", "total_revenue"),
+    "top_products": ("product_id", "total_revenue"),
+    "category_performance": ("category", "year", "total_revenue"),
+    "campaign_roi": ("campaign_id", "attributed_revenue"),
+    "customer_ltv": ("customer_id", "total_revenue"),
+    "cohort_monthly": ("cohort_month", "activity_month", "cohort_revenue"),
+    "channel_performance": ("channel", "year", "total_revenue"),
+    "yoy_comparison": ("month", "month_name", "revenue_1999"),
+}
+
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 _MARTS: dict[tuple[str, str], Marts] = {}
 
@@ -508,11 +522,20 @@ def staging_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exports the ten marts as CSV and counts what the files hold."""
+    """Exports the ten marts as CSV and takes from the files their rows, a digest of their keys, and the sum of a measure."""
     folder = fresh_folder(spark, "export")
     paths = pipeline.export_marts(written_marts(spark, sf_dir), folder)
-    exported = {name: spark.read.option("header", True).csv(path) for name, path in paths.items()}
-    return sinks.row_counts(exported).withColumnRenamed("table", "mart")
+    found = []
+    for name, path in paths.items():
+        *keys, measure = EXPORTED[name]
+        hashed = F.conv(F.substring(F.md5(F.concat_ws("|", *keys).cast("binary")), 1, 8), 16, 10).cast("bigint")
+        found.append(
+            spark.read.option("header", True).csv(path).agg(
+                F.lit(name).alias("mart"), F.count(F.lit(1)).alias("rows"), F.sum(hashed).alias("keys_digest"),
+                F.sum(F.col(measure).cast("double").cast("decimal(28,2)")).cast("double").alias("measure_sum"),
+            )
+        )
+    return _union(found)
 
 
 def column_contract(spark: SparkSession, sf_dir: str) -> DataFrame:

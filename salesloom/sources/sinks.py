@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from salesloom.functions.numeric import publish
 from salesloom.sources.contracts import STAGING_TABLES
@@ -22,16 +22,23 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def content(df: DataFrame) -> list[Column]:
+    """The rows of a table and the sum of their hashes, which no order of rows changes."""
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).alias("digest")]
+
+
 def load_table(df: DataFrame, name: str, store: Store) -> DataFrame:
-    """Replace a staging table and check that what was written can be read in full.
+    """Replace a staging table and check that what was written reads back as the same rows.
 
-    The rows are counted while they are written; the table is not computed twice.
+    They are counted and hashed while they are written; the table is not computed twice.
     """
     watch = Observation()
-    written = store.save(df.observe(watch, F.count(F.lit(1)).alias("rows")), name)
-    sent, stored = watch.get["rows"], written.count()
-    if sent != stored:
-        raise LoadError(f"{name}: wrote {sent} rows, found {stored}")
+    written = store.save(df.observe(watch, *content(df)), name)
+    sent, stored = watch.get, written.agg(*content(written)).first()
+    if sent["rows"] != stored["rows"]:
+        raise LoadError(f"{name}: wrote {sent['rows']} rows, found {stored['rows']}")
+    if sent["digest"] != stored["digest"]:
+        raise LoadError(f"{name}: {stored['rows']} rows read back with other values")
     return written
 
 

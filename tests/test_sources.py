@@ -161,6 +161,15 @@ def test_load_notices_lost_rows(spark, store, monkeypatch):
         sinks.load_table(spark.range(3).toDF("id"), "stg_orders", store)
 
 
+def test_load_notices_changed_values(spark, store, monkeypatch):
+    real = store.save
+    monkeypatch.setattr(store, "save", lambda df, name: real(df, name).selectExpr("IF(id = 1, 9, id) AS id"))
+    with pytest.raises(sinks.LoadError, match="other values"):
+        sinks.load_table(spark.range(3).toDF("id"), "stg_orders", store)
+    monkeypatch.undo()
+    assert sinks.load_table(spark.range(0).toDF("id"), "stg_orders", store).count() == 0
+
+
 def test_csv_keeps_blanks_and_writes_dates_as_text(spark, folder):
     df = spark.sql("SELECT ' a ' AS s, DATE '2023-01-05' AS d, 1.50BD AS m")
     sinks.write_csv(df, f"{folder}/out", single_file=True)
