@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from salesloom.functions.dates import parse_date
 from salesloom.operators.keys import ROW_BITS
@@ -108,15 +108,66 @@ def orphan_keys(ref: Reference) -> DataFrame:
     return used.join(known, "key", "left_anti")
 
 
+def _key_columns(references: Sequence[Reference]) -> dict[tuple[int, str], list[Reference]]:
+    """The references of each distinct child column; a child is known by its identity."""
+    columns: dict[tuple[int, str], list[Reference]] = {}
+    for r in references:
+        columns.setdefault((id(r.child), r.key), []).append(r)
+    return columns
+
+
+def _used_keys(columns: dict[tuple[int, str], list[Reference]], key_type: T.DataType) -> DataFrame:
+    """A row (column, key, child_rows) per child column and key; each child is read once for all its columns."""
+    tagged = []
+    for child in dict.fromkeys(child for child, _ in columns):
+        numbers = {str(n): key for n, (owner, key) in enumerate(columns) if owner == child}
+        frame = next(asked[0].child for (owner, _), asked in columns.items() if owner == child)
+        keys = frame.select(*[F.col(key).cast(key_type).alias(n) for n, key in numbers.items()])
+        tagged.append(keys.unpivot([], list(numbers), "column", "key"))
+    per_key = _union(tagged).groupBy(F.col("column").cast("int").alias("column"), "key")
+    return per_key.agg(F.count(F.lit(1)).alias("child_rows"))
+
+
 def orphan_checks(references: Sequence[Reference]) -> DataFrame:
-    counts = [
-        orphan_keys(r).agg(F.lit(r.label).alias("check"), F.coalesce(F.sum("child_rows"), F.lit(0)).alias("orphans"))
-        for r in references
-    ]
+    """Rows per reference whose key has no parent, NULL keys included.
+
+    The distinct keys of all child columns are taken in one pass over each child, tagged by column, and those of all
+    parents likewise, with a bit for each parent that has them. Both sides are then partitioned alike, so that one
+    join without a further shuffle answers all references. Integer keys are compared as 64 bits; if any key is
+    something else, all are compared as text, so both ends of a reference should have one type.
+    """
+    columns = _key_columns(references)
+    parents = [r.parent.select(F.col(r.parent_key or r.key)) for r in references]
+    types = [r.child.schema[r.key].dataType for r in references] + [p.schema[0].dataType for p in parents]
+    key_type = T.LongType() if all(isinstance(t, T.IntegralType) for t in types) else T.StringType()
+    if any(len(asked) > 63 for asked in columns.values()):
+        raise ValueError("a column can be checked against at most 63 parents")
+    known = _union(
+        [
+            r.parent.select(
+                F.lit(number).alias("column"),
+                F.col(r.parent_key or r.key).cast(key_type).alias("key"),
+                F.lit(1 << bit).cast("bigint").alias("parents"),
+            )
+            for number, asked in enumerate(columns.values())
+            for bit, r in enumerate(asked)
+        ]
+    )
+    # A parent's NULL key matches nothing; without this filter all of them would be one key's rows.
+    known = known.filter("key IS NOT NULL").groupBy("column", "key").agg(F.bit_or("parents").alias("parents"))
+    resolved = _used_keys(columns, key_type).join(known, ["column", "key"], "left")
+    had = F.coalesce("parents", F.lit(0))
+    findings = []
+    for number, asked in enumerate(columns.values()):
+        for bit, r in enumerate(asked):
+            orphan = (F.col("column") == number) & (had.bitwiseAND(F.lit(1 << bit)) == 0)
+            orphans = F.coalesce(F.sum(F.when(orphan, F.col("child_rows"))), F.lit(0))
+            findings.append((references.index(r), F.struct(F.lit(r.label).alias("check"), orphans.alias("orphans"))))
+    ordered = [finding for _, finding in sorted(findings, key=lambda f: f[0])]
     status = F.when(F.col("orphans") == 0, F.lit("OK")).otherwise(
         F.concat(F.col("orphans").cast("string"), F.lit(" orphans"))
     )
-    return _union(counts).withColumn("status", status)
+    return resolved.agg(F.array(*ordered).alias("findings")).select(F.inline("findings")).withColumn("status", status)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

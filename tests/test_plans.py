@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesloom.operators import clean, fact, quality
 from salesloom.operators.dedup import keep_first
-from salesloom.plans import marts, reports
+from salesloom.plans import catalog, marts, reports
 from salesloom.plans.marts import MART_NAMES, Marts
 
 
@@ -65,6 +65,16 @@ def test_a_hot_key_changes_nothing(spark):
     assert got == [("x", expected, f"{expected} orphans")]
 
 
+def test_each_child_is_read_once_for_all_its_references(sample):
+    """Both sides meet on the partitioning that they were counted with."""
+    plan = plan_of(quality.orphan_checks(catalog._references(sample)), "simple")
+    reads = [line for line in plan.splitlines() if "FileScan" in line]
+    for columns in (("date_key", "customer_key", "product_key"), ("order_id", "product_id")):
+        assert sum(all(f"{c}#" in line for c in columns) for line in reads) == 1
+    assert len(reads) == 3 + 7  # three children; orders are a parent twice, once with a condition
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_distinct_counts_with_a_hot_product(spark):
     lines = spark.range(6000).selectExpr(
         "IF(id % 3 = 0, 1L, id % 40) AS product_key", "CONCAT('O', id % 700) AS order_id", "id % 700 % 90 AS customer_key",

@@ -36,6 +36,35 @@ def test_orphans(spark):
     assert rows(quality.orphan_checks([ref, fine])) == [("child -> parent", 3, "3 orphans"), ("fine", 0, "OK")]
 
 
+def test_orphans_of_several_columns_and_parents(spark):
+    """One column against two parents, two columns of one child, NULL keys on both sides, repeated parents, an empty parent."""
+    child = spark.createDataFrame([(1, 10), (1, 20), (2, None), (None, 30), (9, 10), (9, 40)], "k int, m bigint")
+    first = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k bigint")
+    second = spark.createDataFrame([(2,), (9,)], "id int")
+    third = spark.createDataFrame([(10,), (20,), (30,)], "m int")
+    checks = [
+        quality.Reference("k -> first", child, first, "k"),
+        quality.Reference("m -> third", child, third, "m"),
+        quality.Reference("k -> second", child, second, "k", "id"),
+        quality.Reference("second -> first", second, first, "id", "k"),
+        quality.Reference("m -> nothing", child, third.limit(0), "m"),
+    ]
+    got = [(r.check, r.orphans, r.status) for r in quality.orphan_checks(checks).collect()]
+    assert got == [
+        ("k -> first", 3, "3 orphans"), ("m -> third", 2, "2 orphans"), ("k -> second", 3, "3 orphans"),
+        ("second -> first", 1, "1 orphans"), ("m -> nothing", 6, "6 orphans"),
+    ]
+
+
+def test_orphans_with_text_keys(spark):
+    child = spark.createDataFrame([("a", 1), ("b", 2), ("b", 7)], "k string, n int")
+    checks = [
+        quality.Reference("text", child, spark.createDataFrame([("a",)], "k string"), "k"),
+        quality.Reference("number", child, spark.createDataFrame([(1,), (2,)], "n bigint"), "n"),
+    ]
+    assert rows(quality.orphan_checks(checks)) == [("text", 2, "2 orphans"), ("number", 1, "1 orphans")]
+
+
 def test_duplicate_keys_and_missing_values(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, None)], "k int, v string")
     assert rows(quality.duplicate_keys(df, ["k"])) == [(1, 2)]
