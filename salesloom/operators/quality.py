@@ -35,32 +35,54 @@ def null_report(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def hash_counts(df: DataFrame) -> DataFrame:
+    """One row: rows, NULL cells, and the row hashes that more than one row has. Only a hash per row is shuffled."""
+    nulls = reduce(lambda total, c: total + F.col(f"`{c}`").isNull().cast("int"), df.columns, F.lit(0))
+    per_hash = df.select(_row_hash(df).alias("hash"), nulls.alias("nulls")).groupBy("hash")
+    counted = per_hash.agg(F.count(F.lit(1)).alias("copies"), F.sum("nulls").alias("nulls"))
+    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("copies", "rows"), ("nulls", "nulls"))]
+    return counted.agg(*totals, F.count_if(F.col("copies") > 1).alias("repeated"))
+
+
 def full_row_copies(df: DataFrame) -> DataFrame:
-    """One row: rows, NULL cells, and rows that repeat an earlier one.
+    """One row: how many rows repeat an earlier one.
 
-    Only a hash per row is shuffled. Equal rows have equal hashes, so just the rows behind repeated
-    hashes are compared in full, which keeps the count exact whatever the hash does; where no hash
-    repeats, adaptive execution finds that side empty.
+    Equal rows have equal hashes, so just the rows behind repeated hashes are compared in full, which keeps the
+    count exact whatever the hash does.
     """
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    nulls = reduce(lambda total, c: total + c.isNull().cast("int"), columns, F.lit(0))
-    hashed = df.withColumn("_hash", F.xxhash64(*columns))
-    per_hash = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("copies"), F.sum(nulls).alias("nulls"))
-    repeated = per_hash.filter("copies > 1").select("_hash")
-    compared = hashed.join(repeated, "_hash", "left_semi").groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("extra"))
-    extra = compared.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("extra")).scalar()
-    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("copies", "rows"), ("nulls", "nulls"))]
-    return per_hash.agg(*totals).select("rows", "nulls", extra.alias("duplicates"))
+    hashed = df.withColumn("_hash", _row_hash(df))
+    repeated = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("_hash")
+    same = hashed.join(repeated, "_hash", "left_semi").groupBy(*[F.col(f"`{c}`") for c in df.columns])
+    return same.agg((F.count(F.lit(1)) - 1).alias("extra")).agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicates"))
 
 
 def quality_report(datasets: dict[str, DataFrame], max_null_percent: float = 5.0) -> DataFrame:
-    """Rows, mean share of NULLs, full-row repeats and a verdict per dataset, and a TOTAL row."""
-    found = _union(
-        [
-            full_row_copies(df).select(F.lit(name).alias("dataset"), F.lit(len(df.columns)).alias("width"), "rows", "nulls", "duplicates")
-            for name, df in datasets.items()
-        ]
+    """Rows, mean share of NULLs, full-row repeats and a verdict per dataset, and a TOTAL row.
+
+    The first read of the datasets runs when this is called and brings a row per dataset to the driver; only datasets where
+    a row hash repeats are read again.
+    """
+    counts = _union([hash_counts(df).select(F.lit(name).alias("dataset"), "rows", "nulls", "repeated") for name, df in datasets.items()])
+    widths = {name: len(df.columns) for name, df in datasets.items()}
+    first = {r["dataset"]: r for r in counts.collect()}
+    spark = next(iter(datasets.values())).sparkSession
+    known = spark.createDataFrame(
+        [(name, width, first[name]["rows"], first[name]["nulls"]) for name, width in widths.items()],
+        "dataset string, width int, rows bigint, nulls bigint",
     )
+    repeats = [
+        full_row_copies(df).select(F.lit(name).alias("dataset"), "duplicates")
+        for name, df in datasets.items()
+        if first[name]["repeated"]
+    ]
+    if repeats:
+        found = known.join(_union(repeats), "dataset", "left").withColumn("duplicates", F.coalesce("duplicates", F.lit(0)))
+    else:
+        found = known.withColumn("duplicates", F.lit(0).cast("bigint"))
     cells = (F.col("rows") * F.col("width")).cast("decimal(20,0)")
     share = F.try_divide(F.col("nulls").cast("decimal(20,0)") * 100, cells)
     passed = (F.coalesce(share, F.lit(0)) < max_null_percent) & (F.col("duplicates") == 0)

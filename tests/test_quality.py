@@ -22,6 +22,18 @@ def test_quality_report(spark):
     ]
 
 
+def test_only_datasets_with_repeated_hashes_are_read_again(spark, folder, monkeypatch):
+    again = []
+    copies = quality.full_row_copies
+    monkeypatch.setattr(quality, "full_row_copies", lambda df: again.append(df.columns) or copies(df))
+    once = spark.range(100).selectExpr("id AS a")
+    twice = spark.range(100).selectExpr("id % 60 AS b", "IF(id % 60 = 3, NULL, 'x') AS `c d`")
+    got = {r.dataset: tuple(r)[1:] for r in quality.quality_report({"once": once, "twice": twice}).collect()}
+    assert again == [["b", "c d"]]
+    assert got["once"] == (100, Decimal("0.0"), 0, "PASS")
+    assert got["twice"] == (100, Decimal("1.0"), 40, "CHECK")
+
+
 def test_dates_unreadable_and_missing(spark):
     df = spark.createDataFrame([("2023-01-01",), ("bad",), (None,)], "d string")
     assert rows(quality.date_parse_report(df, "orders", ["d"])) == [("orders", "d", 1, 1, 2)]
