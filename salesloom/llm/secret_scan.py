@@ -7,7 +7,8 @@ and identifiers repeat pieces of what is already there and cost little; a key do
 reported as `novel`. Copies of the candidate nearby are taken out of its surroundings first.
 
 Every text is scanned whole, in the task that reads it: there is no shuffle, and memory holds one
-Arrow batch. Defined cases: a NULL text is the empty text; repeated rows are scanned one by one;
+Arrow batch. Time grows with a text's length, however many spans are in it.
+Defined cases: a NULL text is the empty text; an empty table gives no rows; repeated rows are scanned one by one;
 columns besides id and text are passed through by `redact_secrets` and not looked at otherwise.
 """
 
@@ -18,6 +19,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -151,7 +153,13 @@ class Scanner:
         base, novel, highest = self.base_spans(text), [], 0.0
         spans, near = self.strings(text)
         waiting, asked, reach = [i for i, x in enumerate(near) if x], list(near), self.novelty.reach
-        free = lambda start, end: not any(s < end and start < e for s, _, e in base)
+        starts, reached = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
+
+        def free(start: int, end: int) -> bool:
+            """Whether no base span meets this one: of those that start before its end, none ends behind its start."""
+            i = bisect_left(starts, end)
+            return i == 0 or reached[i - 1] <= start
+
         while waiting:
             i = waiting.pop()
             start, end = spans[i]

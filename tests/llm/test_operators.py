@@ -1,6 +1,7 @@
 """Every operator against a plain version, over awkward rows, repeated rows, no rows and the smallest test table."""
 
 import random
+import string
 import zlib
 
 import numpy as np
@@ -68,6 +69,32 @@ def test_novel_strings_are_told_from_prose():
     assert scanner.scan("the bearer of good news wrote configurationsettings in the configurationsettings file")[1] == []
 
 
+def test_novel_spans_among_many_base_spans():
+    """Base spans of several kinds, nested and side by side: a novel span meets none of them, and none that is free is lost."""
+    generator = random.Random(11)
+    letters = string.ascii_letters + string.digits + "+/"
+    secret = lambda n: "".join(generator.choice(letters) for _ in range(n))
+    parts = [
+        lambda: f"password={secret(30)}", lambda: f"bearer {secret(40)}", lambda: "token " + "%032x" % generator.getrandbits(128),
+        lambda: f"secret: AKIA{secret(20).upper().replace('+', 'A').replace('/', 'B')}", lambda: f"the key {secret(24)}\n", lambda: "nothing here",
+    ]
+    text = " ".join(generator.choice(parts)() for _ in range(1500))
+    scanner = secret_scan.Scanner(secret_scan.Novelty())
+    base, novel, _ = scanner.scan(text)
+    assert len(base) > 300 and len(novel) > 300
+    meets = lambda start, end: any(s < end and start < e for s, _, e in base)
+    assert not any(meets(start, end) for start, _, end in novel)
+    # Without base spans every novel string is reported: those that meet no base span must be the same ones.
+    scanner.base_spans = lambda text: []
+    assert [span for span in scanner.scan(text)[1] if not meets(span[0], span[2])] == novel
+
+
+def test_repeated_rows_and_empty_tables_of_secrets(spark):
+    df = spark.createDataFrame([(1, "token=abcdefgh"), (1, "token=abcdefgh"), (2, None)], "doc_id int, text string")
+    assert sorted((r.doc_id, r.spans) for r in secret_scan.secret_report(df).collect()) == [(1, "assign:0:14"), (1, "assign:0:14"), (2, "")]
+    assert secret_scan.secret_report(df.limit(0)).collect() == []
+
+
 def test_secrets_of_several_parts_and_before_the_word():
     generator = random.Random(2)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
