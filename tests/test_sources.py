@@ -3,8 +3,10 @@ from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from salesloom.operators import quality
+from salesloom.plans import catalog
 from salesloom.sources import files, sinks
 from salesloom.sources.contracts import SOURCE_FILES, column_contract
 from salesloom.sources.files import SourceError
@@ -232,3 +234,23 @@ def test_a_partitioned_table_without_rows_can_be_read(spark, store):
     assert saved.columns == ["id", "year"] and saved.count() == 0
     filled = store.save(spark.range(3).selectExpr("CAST(id AS INT) AS year", "id"), "t", ["year"])
     assert filled.dtypes == [("year", "int"), ("id", "bigint")] and filled.count() == 3
+
+
+def test_documents_hold_hundreds_of_records(spark, folder, monkeypatch):
+    """1,200 campaigns are a few files, not 1,200."""
+    tables, documents = f"{folder}/tables", f"{folder}/documents"
+    spark.range(1200).selectExpr("id AS s_suppkey", "CONCAT('S', id) AS s_name", "0 AS s_nationkey", "id / 4 AS s_acctbal").write.parquet(f"{tables}/supplier.parquet")
+    spark.range(1).selectExpr("id AS event_id", "'view' AS event_type", "1.0D AS value", "'{\"k\": 7}' AS props").write.parquet(f"{tables}/events.parquet")
+    monkeypatch.setattr(catalog, "fresh_folder", lambda spark, label: documents)
+    contract = {r.column: r.status for r in catalog.json_contract(spark, tables).collect()}
+    assert (contract["spend"], contract["extra_col"], contract["name"]) == ("missing", "additional", "present")
+    assert len(list(Path(documents).glob("part-*"))) <= 3 + 8
+    assert sorted(int(r.campaign_id) for r in files.read_json(spark, documents).collect()) == list(range(1200))
+
+
+def test_broken_records_have_documents_of_their_own(spark, folder):
+    records = spark.range(0, 1000, 1, 1).select(F.to_json(F.struct(F.col("id").alias("campaign_id"))).alias("record"), "id")
+    catalog.write_documents(records, f"{folder}/x", broken=F.col("id") == 2)
+    texts = sorted(p.read_text().strip() for p in Path(f"{folder}/x").glob("part-*"))
+    assert len(texts) == 3 and texts[-1] == '[{"name":'
+    assert sorted(len(json.loads(t)) for t in texts[:-1]) == [499, 500]
