@@ -3,13 +3,16 @@
 from datetime import date
 
 import pytest
-from conftest import plan_of, rows
+from conftest import SF_DIR, plan_of, rows
 from pyspark.sql import functions as F
 
 from salesloom.operators import clean, fact, quality
 from salesloom.operators.dedup import keep_first
 from salesloom.plans import catalog, marts, reports
 from salesloom.plans.marts import MART_NAMES, Marts
+from salesloom.plans.warehouse import Warehouse
+from salesloom.sources import testbed
+from salesloom.sources.store import Store
 
 
 @pytest.mark.parametrize("name", MART_NAMES)
@@ -135,3 +138,29 @@ def test_skewed_join_is_split_at_run_time(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rows_are_dropped_before_cleaning_widens_them(spark):
+    """Where the order does not ask for what cleaning changes, nothing of it is sorted or shuffled."""
+    raw = testbed.raw_source(spark, SF_DIR, "order_items")
+    for cleaned, late in (
+        (clean.clean_order_items(raw, testbed.ORDER_BY["order_items"]), "effective_unit_price"),
+        (clean.clean_order_items(raw), "effective_unit_price"),
+        (clean.clean_orders(testbed.raw_source(spark, SF_DIR, "orders")), "fulfillment_days"),
+    ):
+        lines = plan_of(cleaned, "simple").splitlines()
+        window = next(i for i, line in enumerate(lines) if "Window" in line)
+        assert not any(late in line for line in lines[window:])
+
+
+def test_the_fact_is_not_moved_once_more_to_be_written(spark, folder):
+    saved = {}
+
+    class Watched(Store):
+        def save(self, df, name, partition_by=()):
+            saved[name] = df
+            return super().save(df, name, partition_by)
+
+    built = Warehouse(spark, Watched(spark, folder), testbed.SETTINGS, lambda s: testbed.raw_source(spark, SF_DIR, s), testbed.ORDER_BY)
+    assert built.fact_sales.count() > 0
+    assert "Exchange rebalance" not in (plan := plan_of(saved["fact_sales"], "simple")) and "REBALANCE" not in plan.upper()
