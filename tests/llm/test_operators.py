@@ -266,6 +266,43 @@ def test_components(spark):
     assert found == {**{i: 0 for i in range(51)}, 100: 100, 101: 100, 103: 100, **{200 + i: 200 for i in range(40)}}
 
 
+def test_components_take_few_writes(spark, monkeypatch):
+    from salesloom.llm import components
+
+    written = []
+    monkeypatch.setattr(components, "kept", lambda df, label: written.append(label) or common.kept(df, label))
+    path = spark.range(400, numPartitions=4).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {(r["node"], r["component"]) for r in connected(path).collect()} == {(i, 0) for i in range(401)}
+    assert len(written) <= 3
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1 << 20])
+def test_forests_keep_components(monkeypatch, chunk):
+    from salesloom.llm import components
+
+    monkeypatch.setattr(components, "CHUNK", chunk)
+    random = np.random.default_rng(chunk)
+    for n, m in ((1, 0), (6, 4), (300, 160), (300, 900)):
+        a, b = random.integers(0, n, (2, m))
+        batches = [pa.record_batch([pa.array(a[i : i + 7]), pa.array(b[i : i + 7])], names=["a", "b"]) for i in range(0, m, 7)]
+        found = [(x, y) for batch in components._forests(batches) for x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        label = lambda edges: brute_labels(n, edges)
+        assert all(x > y for x, y in found) and label(found) == label(list(zip(a.tolist(), b.tolist(), strict=True)))
+        if chunk > m:
+            assert len(found) == len({x for x, _ in found})
+
+
+def brute_labels(n, edges):
+    labels = list(range(n))
+    for _ in range(n):
+        before = labels[:]
+        for x, y in edges:
+            labels[x] = labels[y] = min(labels[x], labels[y])
+        if labels == before:
+            return labels
+    return labels
+
+
 # Sharding
 
 
