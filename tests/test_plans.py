@@ -7,7 +7,7 @@ from conftest import SF_DIR, plan_of, rows
 from pyspark.sql import functions as F
 
 from salesloom.operators import clean, fact, quality
-from salesloom.operators.dedup import keep_first
+from salesloom.operators.dedup import has_hot_key, keep_first
 from salesloom.plans import catalog, marts, reports
 from salesloom.plans.marts import MART_NAMES, Marts
 from salesloom.plans.warehouse import Warehouse
@@ -44,6 +44,32 @@ def test_deduplication_drops_copies_before_the_shuffle(spark, sample):
     assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[shuffle + 1:])
 
 
+def _lines_with_copies(spark, item):
+    figures = ("unit_price", "discount_pct", "discount_amt", "line_total", "line_profit")
+    return spark.range(30_000, numPartitions=3).select(
+        item.alias("item_id"), F.col("id").alias("v"), F.lit(1).alias("quantity"), *[(F.col("id") % 100).alias(c) for c in figures]
+    )
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_lines_are_sorted_in_shuffle_partitions_unless_a_key_is_hot(spark, hot):
+    """An input split of any size is not sorted as a whole; copies of a hot key, here NULL, are still dropped before the shuffle."""
+    spread = F.col("id") % 20_000
+    raw = _lines_with_copies(spark, F.when(F.col("id") % 100 > 0, spread) if hot else spread)
+    assert has_hot_key(raw, "item_id") == hot
+    cleaned = clean.clean_order_items(raw, ["v"])
+    lines = plan_of(cleaned, "simple").splitlines()
+    shuffle = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert any("Sort" in line for line in lines[shuffle + 1 :]) == hot
+    first = raw.groupBy("item_id").agg(F.min("v").alias("v"))
+    assert rows(cleaned.select("item_id", "v").orderBy("item_id")) == rows(first.orderBy("item_id"))
+
+
+def test_a_table_without_rows_has_no_hot_key(spark):
+    empty = _lines_with_copies(spark, F.col("id")).limit(0)
+    assert not has_hot_key(empty, "item_id") and clean.clean_order_items(empty).count() == 0
+
+
 def test_cleaning_stays_in_generated_code(spark):
     raw = spark.createDataFrame([("a", "b")], "status string, channel string")
     df = raw.select(clean.clean_label(F.col("status")), clean.clean_label(F.col("channel")))
